@@ -47,7 +47,7 @@ def _plain(df: DataFrame) -> DataFrame:
     for c, kind in df.dtypes:
         column = F.col(f"`{c}`")
         if kind.startswith("decimal"):
-            column = column.cast("double")
+            column = F.round(column.cast("double"), 6)
         elif kind in ("date", "timestamp", "timestamp_ntz"):
             column = column.cast("string")
         elif kind in ("tinyint", "smallint", "int"):
@@ -270,7 +270,8 @@ def _csv_reviews(spark, folder):
     raw = mapped.raw_reviews(spark, folder).where("source_file <> 'reviews_9.csv'")
     columns = [c for c in raw.columns if c not in ("source_row_id", "source_file")]
     csv_files.write_csv(raw.select(F.col("source_row_id").alias(""), *columns), files)
-    return clean.clean_reviews(csv_files.read_reviews(spark, f"{files}/*.csv")).drop("source_file")
+    read = csv_files.read_reviews(spark, f"{files}/*.csv")
+    return clean.type_reviews(clean.trim_all(read)).drop("source_file")
 
 
 @query("csv_catalogue")
