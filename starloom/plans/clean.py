@@ -9,6 +9,7 @@ from starloom.functions import cleaning as C
 from starloom.functions.columns import count_if, strip
 from starloom.operators.dedup import keep_first, require_dependency, require_unique
 from starloom.schemas import PRODUCT_FLAGS, PROFILE_ATTRIBUTES, RAW_PRODUCT, RAW_REVIEW
+from starloom.session import cut_lineage
 
 # --- fixed values -----------------------------------------------------------
 REVIEW_KEY = ["author_id", "product_id", "submission_time"]
@@ -86,7 +87,7 @@ def type_products(products: DataFrame) -> DataFrame:
 
 
 def clean_products(raw: DataFrame) -> DataFrame:
-    products = distinct_products(raw)
+    products = cut_lineage(distinct_products(raw))
     check_products(products)
     return type_products(products)
 
@@ -130,7 +131,8 @@ def type_reviews(reviews: DataFrame) -> DataFrame:
 
 
 def clean_reviews(raw: DataFrame) -> DataFrame:
-    reviews = distinct_reviews(raw)
+    # Stored once: the checks then read a few columns, not the source files again.
+    reviews = cut_lineage(distinct_reviews(raw))
     check_reviews(reviews)
     return type_reviews(reviews)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,13 +97,24 @@ def load_calendar(spark: SparkSession, root: str) -> Inserted:
 
 
 def load_dimensions(spark: SparkSession, root: str) -> dict[str, Inserted]:
-    """Every dimension in full: a review may only refer to members already loaded."""
+    """Every dimension in full: a review may only refer to members already loaded.
+
+    Only products depend on another dimension, so the branches run side by side.
+    """
     products = layers.read_table(spark, root, STAGED_PRODUCT)
     reviews = layers.read_table(spark, root, STAGED_REVIEW)
-    return {
-        "brand": insert_absent(brand_rows(products), root, DIM_BRAND),
-        "product": load_products(spark, root),
-        "customer": insert_absent(customer_rows(reviews), root, DIM_CUSTOMER, unique=True),
-        "profile": insert_absent(profile_rows(reviews), root, DIM_PROFILE, unique=True),
-        "date": load_calendar(spark, root),
-    }
+
+    def brand_then_product():
+        brand = insert_absent(brand_rows(products), root, DIM_BRAND)
+        return brand, load_products(spark, root)
+
+    with ThreadPoolExecutor(max_workers=4) as branches:
+        chain = branches.submit(brand_then_product)
+        customer = branches.submit(
+            lambda: insert_absent(customer_rows(reviews), root, DIM_CUSTOMER, unique=True))
+        profile = branches.submit(
+            lambda: insert_absent(profile_rows(reviews), root, DIM_PROFILE, unique=True))
+        day = branches.submit(lambda: load_calendar(spark, root))
+        brand, product = chain.result()
+        return {"brand": brand, "product": product, "customer": customer.result(),
+                "profile": profile.result(), "date": day.result()}

@@ -11,12 +11,14 @@ from starloom.sources import layers
 
 
 class Star(NamedTuple):
+    """Facts and dimensions; a dimension no view of interest reads may be missing."""
+
     fact: DataFrame
     product: DataFrame
     brand: DataFrame
-    customer: DataFrame
-    profile: DataFrame
-    date: DataFrame
+    customer: DataFrame | None = None
+    profile: DataFrame | None = None
+    date: DataFrame | None = None
 
 
 def read_star(spark: SparkSession, root: str) -> Star:

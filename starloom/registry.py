@@ -71,21 +71,21 @@ def all_queries() -> dict[str, Query]:
     return dict(_queries)
 
 
-def _on_star(name: str, build, reviewers: bool = False, profiles: bool = False) -> None:
-    query(name)(lambda s, d: build(mapped.star(s, d, reviewers, profiles)))
+def _on_star(name: str, build, reviewers=False, profiles=False, dates=False) -> None:
+    query(name)(lambda s, d: build(mapped.star(s, d, reviewers, profiles, dates)))
 
 
 # --- views -----------------------------------------------------------------------------------
 
 _on_star("rating_by_brand", views.rating_by_brand)
 _on_star("rating_by_category", views.rating_by_category)
-_on_star("review_trend_monthly", views.review_trend_monthly, reviewers=True)
+_on_star("review_trend_monthly", views.review_trend_monthly, reviewers=True, dates=True)
 _on_star("rating_by_price_band", views.rating_by_price_band)
 _on_star("rating_by_profile_type",
          lambda s: views.rating_by_skin_type(s, mapped.PRIMARY_CATEGORY), profiles=True)
 _on_star("kpi_summary", views.kpi_summary, reviewers=True)
 _on_star("hype_vs_reality", lambda s: views.hype_vs_reality(s, mapped.MIN_REVIEWS).drop("product_key"))
-_on_star("volume_by_month", views.volume_by_month, reviewers=True)
+_on_star("volume_by_month", views.volume_by_month, reviewers=True, dates=True)
 _on_star("rating_by_profile_tone", views.rating_by_skin_tone, profiles=True)
 _on_star("rating_by_length", views.rating_by_review_length)
 _on_star("rating_by_brand_category", views.rating_by_brand_category)
@@ -93,7 +93,7 @@ _on_star("rating_by_brand_category", views.rating_by_brand_category)
 
 @query("views_by_name")
 def _views_by_name(spark, folder):
-    views.register_views(spark, mapped.star(spark, folder, profiles=True))
+    views.register_views(spark, mapped.star(spark, folder, profiles=True, dates=True))
     return spark.sql(
         "select brand_name, review_count, avg_rating from vw_rating_by_brand "
         "where review_count >= :floor", args={"floor": 100})
@@ -121,10 +121,10 @@ _on_star("profile_ranking",
 _on_star("tone_totals", reports.skin_tone_totals, profiles=True)
 _on_star("length_shares", reports.length_shares)
 _on_star("length_contrast", reports.length_contrast)
-_on_star("trend_series", reports.trend_series, reviewers=True)
-_on_star("trend_peaks", reports.trend_peaks, reviewers=True)
-_on_star("yearly_trend", reports.yearly_trend, reviewers=True)
-_on_star("latest_months", reports.latest_months, reviewers=True)
+_on_star("trend_series", reports.trend_series, reviewers=True, dates=True)
+_on_star("trend_peaks", reports.trend_peaks, reviewers=True, dates=True)
+_on_star("yearly_trend", reports.yearly_trend, reviewers=True, dates=True)
+_on_star("latest_months", reports.latest_months, reviewers=True, dates=True)
 _on_star("filter_options", reports.category_options)
 _on_star("brand_options", lambda s: reports.brand_options(s, CATEGORIES))
 _on_star("kpi_with_delta", lambda s: reports.kpi_with_delta(s, KPI_BASELINE), reviewers=True)
@@ -132,17 +132,18 @@ _on_star("kpi_with_delta", lambda s: reports.kpi_with_delta(s, KPI_BASELINE), re
 
 # --- validation ------------------------------------------------------------------------------
 
-_on_star("view_totals", validation.view_totals, profiles=True)
-_on_star("views_matching", lambda s: validation.views_matching(validation.view_totals(s)), profiles=True)
+_on_star("view_totals", validation.view_totals, profiles=True, dates=True)
+_on_star("views_matching", lambda s: validation.views_matching(validation.view_totals(s)), profiles=True,
+         dates=True)
 _on_star("subset_totals",
          lambda s: validation.subset_totals(s, mapped.PRIMARY_CATEGORY, mapped.MIN_REVIEWS), profiles=True)
 _on_star("fact_range", validation.fact_range)
 _on_star("duplicate_keys", validation.duplicate_keys)
-_on_star("dimension_counts", validation.dimension_counts, profiles=True)
+_on_star("dimension_counts", validation.dimension_counts, profiles=True, dates=True)
 
 
 def _star_with_gaps(spark, folder):
-    star = mapped.star(spark, folder, profiles=True)
+    star = mapped.star(spark, folder, profiles=True, dates=True)
     return star._replace(
         product=star.product.where(F.col("loves_count") < (LARGEST_KNOWN_SIZE + 1) * 1000),
         profile=star.profile.where("skin_type <> 'P' or hair_color <> 'F'"),

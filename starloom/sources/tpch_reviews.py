@@ -29,6 +29,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _spread(lines: DataFrame) -> DataFrame:
+    """Rows of fewer files than cores, spread over the cores before heavy row work."""
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    few = len(lines.inputFiles()) < cores
+    return lines.repartition(cores, "l_orderkey") if few else lines
+
+
 def _measures() -> dict:
     total = F.expr("cast(round(l_discount * 100) as int)")
     liked = F.floor(total / 2).cast("int")
@@ -48,8 +55,11 @@ def _measures() -> dict:
     }
 
 
-def _lines(spark: SparkSession, folder: str, reviewers: bool = False, profiles: bool = False) -> DataFrame:
+def _lines(spark: SparkSession, folder: str, reviewers: bool = False, profiles: bool = False,
+           spread: bool = False) -> DataFrame:
     lines = table(spark, folder, "lineitem")
+    if spread:
+        lines = _spread(lines)
     if not (reviewers or profiles):
         return lines
     orders = table(spark, folder, "orders")
@@ -101,15 +111,19 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as staged review rows."""
     parts = {**_measures(), "author_id": F.col("o_custkey").cast("string"), **_named_attributes()}
-    lines = _lines(spark, folder, profiles=True)
+    lines = _lines(spark, folder, profiles=True, spread=True)
     return lines.select(*_columns(parts)).withColumn("review_id", F.col("source_row_id"))
 
 
-def star(spark: SparkSession, folder: str, reviewers: bool = False, profiles: bool = False) -> Star:
+def star(
+    spark: SparkSession, folder: str, reviewers: bool = False, profiles: bool = False,
+    dates: bool = False,
+) -> Star:
     """The star of the mapped reviews.
 
     Facts that need no reviewer come from the line items alone; asking for
-    reviewers or profiles adds the joins that know them.
+    reviewers or profiles adds the joins that know them. Dimensions that were not
+    asked for are left out.
     """
     parts = {
         **_measures(),
@@ -118,28 +132,28 @@ def star(spark: SparkSession, folder: str, reviewers: bool = False, profiles: bo
     }
     if reviewers or profiles:
         parts["customer_key"] = F.col("o_custkey")
-    profile_key = F.xxhash64(*PROFILE_ATTRIBUTES)
-    fact = _lines(spark, folder, reviewers, profiles)
+    lines = _lines(spark, folder, reviewers, profiles)
+    customer = profile = date = None
     if profiles:
-        fact = fact.withColumns(_named_attributes())
+        profile_key = F.xxhash64(*PROFILE_ATTRIBUTES)
+        named = lines.select(*_columns(_named_attributes())).distinct()
+        profile = named.withColumn("reviewer_profile_key", profile_key)
+        lines = lines.withColumns(_named_attributes())
         parts["reviewer_profile_key"] = profile_key
-    fact = fact.select(*_columns(parts))
+        customer = table(spark, folder, "customer").select(
+            F.col("c_custkey").alias("customer_key"), F.col("c_custkey").cast("string").alias("customer_id"))
+    fact = lines.select(*_columns(parts))
+    if dates:
+        date = calendar(date_bounds(fact))
 
     products = catalogue(spark, folder)
-    product = products.withColumns({
-        "product_key": F.col("product_id").cast("long"),
-        "brand_key": F.col("brand_id").cast("long"),
-        "price_band": price_band(F.col("price_usd")),
-    }).drop("brand_id", "brand_name")
-    brand = products.select(F.col("brand_id").cast("long").alias("brand_key"), "brand_id", "brand_name")
-    customer = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("customer_key"), F.col("c_custkey").cast("string").alias("customer_id"))
-    named = _lines(spark, folder, profiles=True).select(*_columns(_named_attributes())).distinct()
-    return Star(
-        fact, product, brand.distinct(), customer,
-        named.withColumn("reviewer_profile_key", profile_key),
-        calendar(date_bounds(fact)),
-    )
+    key = F.col("brand_id").cast("long").alias("brand_key")
+    product = products.select(
+        "*", F.col("product_id").cast("long").alias("product_key"), key,
+        price_band(F.col("price_usd")).alias("price_band"),
+    ).drop("brand_id", "brand_name")
+    brand = products.select(key, "brand_id", "brand_name").distinct()
+    return Star(fact, product, brand, customer, profile, date)
 
 
 # --- the same rows as uncleaned text ----------------------------------------------------------
@@ -214,7 +228,7 @@ def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
         "source_file": F.concat(F.lit("reviews_"), F.col("l_suppkey") % 5, F.lit(".csv")),
     }
     del parts["submission_date"], parts["review_length"]
-    rows = _lines(spark, folder, profiles=True).select(*_columns(parts))
+    rows = _lines(spark, folder, profiles=True, spread=True).select(*_columns(parts))
     again = rows.where(F.col("source_row_id").cast("long") % 10 == 0).withColumns({
         "source_row_id": (F.lit(10**18) + F.col("source_row_id").cast("long")).cast("string"),
         "source_file": F.lit("reviews_9.csv"),
