@@ -43,6 +43,11 @@ def _totals(facts: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def _dated(star: Star) -> DataFrame:
+    # The calendar has one row per day of the data, so every task can hold it.
+    return star.fact.join(F.broadcast(star.date), "date_key")
+
+
 def product_totals(star: Star) -> DataFrame:
     return _totals(star.fact, "product_key")
 
@@ -94,7 +99,7 @@ def review_trend_monthly(star: Star) -> DataFrame:
     n = F.count(F.lit(1))
     yes, answered = _recommended()
     return (
-        star.fact.join(star.date, "date_key")
+        _dated(star)
         .groupBy("year", "month", "month_name")
         .agg(
             n.alias("review_count"),
@@ -194,7 +199,7 @@ def volume_by_month(star: Star) -> DataFrame:
     n = F.count(F.lit(1))
     yes, answered = _recommended()
     monthly = (
-        star.fact.join(star.date, "date_key")
+        _dated(star)
         .groupBy("year", "month")
         .agg(
             n.alias("review_count"),

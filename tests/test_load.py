@@ -186,3 +186,12 @@ def test_a_brand_with_two_names_is_refused(spark, source_files):
     raw = csv_files.read_catalogue(spark, str(source_files / "product_info.csv"))
     with pytest.raises(ValueError, match="brand_id"):
         clean.clean_products(raw.withColumn("brand_name", F.col("product_id")))
+
+
+def test_raw_rows_can_be_appended(spark, source_files):
+    root = scratch_path(spark, "append")
+    products = clean.clean_products(csv_files.read_catalogue(spark, str(source_files / "product_info.csv")))
+    reviews = clean.clean_reviews(csv_files.read_reviews(spark, str(source_files / "reviews_1.csv")))
+    expected = {"products": 2, "reviews": 2}
+    assert load.ingest(root, products, reviews, expected) == expected
+    assert load.ingest(root, products.limit(0), reviews, append=True) == {"products": 2, "reviews": 4}
