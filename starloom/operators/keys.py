@@ -8,19 +8,24 @@ from pyspark.sql import functions as F
 from starloom.operators.joins import lookup_join
 
 SLOTS = 1024
+ROWS_PER_SLOT = 1_000_000
 PAGE_BITS = 16
 
 
-def number_rows(df: DataFrame, key: list[str], name: str, start: int = 0) -> DataFrame:
+def number_rows(
+    df: DataFrame, key: list[str], name: str, start: int = 0, rows: int = 0
+) -> DataFrame:
     """Number rows with distinct keys start+1, start+2, ... without gaps.
 
-    Rows are spread over a fixed number of slots by a hash of their key and
-    numbered inside their slot; a slot starts where the slots before it end. The
-    result depends on the keys alone, so a repeated task gives equal numbers.
+    Rows are spread over slots by a hash of their key and numbered inside their
+    slot; a slot starts where the slots before it end. The result depends on the
+    keys alone, so a repeated task gives equal numbers. ``rows``, the row count of
+    a long frame, adds slots so that none holds much more than a million rows.
     """
-    slotted = df.withColumn("_slot", F.pmod(F.xxhash64(*key), F.lit(SLOTS)).cast("int"))
+    slots = max(SLOTS, rows // ROWS_PER_SLOT)
+    slotted = df.withColumn("_slot", F.pmod(F.xxhash64(*key), F.lit(slots)).cast("int"))
     sizes = slotted.groupBy("_slot").agg(F.count(F.lit(1)).alias("_size"))
-    # At most SLOTS rows, so one task orders them and every task can hold them.
+    # One row per slot: one task orders them and every task can hold them.
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_slot", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("_slot").orderBy(*key)

@@ -139,12 +139,11 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
 
 def review_steps(raw: DataFrame) -> DataFrame:
     """Row and cell accounting of the review cleaning: step, rows."""
-    kept = distinct_reviews(raw).agg(
+    kept = cut_lineage(distinct_reviews(raw).agg(
         F.count(F.lit(1)).alias("rows_out"),
-        *[count_if(F.col("eye_color") == old).alias("eye_color_respelled")
-          for old in EYE_COLOR_SPELLING],
+        count_if(F.col("eye_color").isin(list(EYE_COLOR_SPELLING))).alias("eye_color_respelled"),
         count_if(F.col("skin_tone") == SKIN_TONE_PLACEHOLDER).alias("skin_tone_placeholder"),
-    )
+    ))
     steps = trimmed_cells(raw).select("*", kept.select("rows_out").scalar().alias("rows_out"))
     first = steps.withColumn("duplicates_dropped", F.col("rows_in") - F.col("rows_out"))
     return first.unpivot([], first.columns, "step", "rows").unionByName(

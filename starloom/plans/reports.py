@@ -11,6 +11,7 @@ from starloom.functions.columns import (
 from starloom.plans import views
 from starloom.plans.star import Star
 from starloom.schemas import UNKNOWN
+from starloom.session import cut_lineage
 
 SKIN_TYPE_MIN_REVIEWS = 1000
 
@@ -42,7 +43,8 @@ def brand_ranking(star: Star, min_reviews: int = 500, categories=(), brands=())
 
 def brand_extremes(star: Star, ends: int = 10, **filters) -> DataFrame:
     """The best and the worst brands with their distance from the overall average."""
-    ranking = brand_ranking(star, **filters)
+    # One row per brand, read three times below.
+    ranking = cut_lineage(brand_ranking(star, **filters))
     best = ranking.orderBy(_down("avg_rating"), "brand_name").limit(ends)
     worst = ranking.orderBy(_up("avg_rating"), F.col("brand_name").desc()).limit(ends)
     overall = views.kpi_summary(star).select("avg_rating").scalar()

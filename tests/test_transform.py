@@ -94,6 +94,8 @@ def test_numbering_is_dense_and_repeatable(spark):
     df = spark.range(5000).selectExpr("cast(id as string) as k")
     first = {r.k: r.n for r in number_rows(df, ["k"], "n", start=7).collect()}
     again = {r.k: r.n for r in number_rows(df.repartition(13), ["k"], "n", start=7).collect()}
+    many = {r.n for r in number_rows(df, ["k"], "n", start=7, rows=3_000_000_000).collect()}
+    assert many == set(first.values())
     assert sorted(first.values()) == list(range(8, 5008))
     assert first == again
 
