@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, extraction
+from starloom.llm import chat, extraction, fingerprints, forest, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,3 +74,18 @@ def _chat(spark, folder):
 @query("op10_html_extraction")
 def _extraction(spark, folder):
     return extraction.extract_pages(table(spark, folder, "pages"))
+
+
+@query("op1_fingerprints")
+def _fingerprints(spark, folder):
+    return fingerprints.compare_with_next(table(spark, folder, "documents"))
+
+
+@query("op2_substring_dedup")
+def _substrings(spark, folder):
+    return substrings.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query("op6_ngram_jaccard_join")
+def _near_duplicates(spark, folder):
+    return forest.link_documents(table(spark, folder, "documents"))
