@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, extraction, fingerprints, forest, substrings
+from starloom.llm import chat, extraction, fingerprints, forest, packing, quality, substrings, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Where a vocabulary file lies; the files belong to an installed package, not to this one.
+VOCABULARY = public_tokenizers.path
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -89,3 +92,38 @@ def _substrings(spark, folder):
 @query("op6_ngram_jaccard_join")
 def _near_duplicates(spark, folder):
     return forest.link_documents(table(spark, folder, "documents"))
+
+
+_VECTOR_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, least.component_id, e.vec_id = least.component_id AS kept
+FROM embeddings e JOIN least ON least.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+
+@query("op5_embedding_near_dedup", _VECTOR_SQL)
+def _vectors(spark, folder):
+    return vectors.link_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op3_packing")
+def _packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), VOCABULARY("word_bpe_49k.json"))
+
+
+@query("op9_quality_classifier")
+def _quality(spark, folder):
+    return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import id_of, in_tasks, pieces_of, stored, text_rows
+from starloom.llm.common import LEAST, id_of, in_tasks, pieces_of, stored, text_rows
 from starloom.llm.words import _ROLL, find_words, mixed, runs_of, whole_runs, word_hashes
 
 WINDOW = 13
@@ -184,3 +184,33 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     out = in_tasks(joined, work, "key long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.select(id_of(F.col("key")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    size_col: str = "n_chars") -> DataFrame:
+    """The rows of ``docs``, all columns, with the repeated words taken out of their texts.
+
+    A text that loses words becomes the rest joined by one space, and ``size_col`` its length;
+    all other texts stay as they are, nulls too.
+    """
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LEAST))
+    body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    spans = repeated_spans(text_rows(docs, id_col, text_col))
+    columns = list(docs.columns)
+    marked = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], key.alias("key"),
+                         F.crc32(body.cast("binary")).alias("check")).join(spans, ["key", "check"], "left").drop("key", "check")
+    text_at = columns.index(text_col)
+
+    def work(batches):
+        for batch in batches:
+            texts = batch.column(text_at).to_pylist()
+            for i, spans_of in enumerate(batch.column(len(columns)).to_pylist()):
+                if spans_of:
+                    texts[i] = " ".join(_without(WORD.findall(texts[i]), spans_of))
+            yield batch.set_column(text_at, batch.schema.field(text_at), pa.array(texts, batch.schema.field(text_at).type))
+
+    out = in_tasks(marked, work, ", ".join(f"`{c}` {t}" for c, t in marked.dtypes))
+    changed = F.col("spans").isNotNull()
+    chosen = [F.when(changed, F.length(f"c{text_at}").cast(docs.schema[c].dataType)).otherwise(F.col(f"c{i}"))
+              if c == size_col else F.col(f"c{i}") for i, c in enumerate(columns)]
+    return out.select(*[x.alias(c) for x, c in zip(chosen, columns)])
