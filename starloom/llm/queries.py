@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, extraction, fingerprints, forest, packing, quality, substrings, vectors
+from starloom.llm import chat, extraction, fingerprints, forest, licences, nbest, packing, quality, substrings, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 # Where a vocabulary file lies; the files belong to an installed package, not to this one.
@@ -127,3 +127,67 @@ def _packing(spark, folder):
 @query("op9_quality_classifier")
 def _quality(spark, folder):
     return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_sentencepiece_nbest")
+def _segmentations(spark, folder):
+    return nbest.report_n_best(table(spark, folder, "documents"), VOCABULARY("piece_bpe_32k.model"))
+
+
+# A document's place as a file: its source, language and thousand are its directories.
+_PATH = "concat(source, '/', lang, '/', cast(doc_id {} 1000 as {}), '/', cast(doc_id as {}), '.txt')"
+
+
+def _licence_sql() -> str:
+    """The scan in SQL, from the same templates; the filter of lines is not needed there."""
+    texts = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(licences.TEMPLATES))
+    path = _PATH.format("//", "varchar", "varchar")
+
+    def split(text):
+        return f"list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
+
+    return f"""
+WITH template(template, licence, body) AS (VALUES {texts}),
+tw AS (SELECT template, licence, word, count(*) AS n FROM (
+         SELECT template, licence, unnest({split("body")}) AS word FROM template) GROUP BY ALL),
+f AS (SELECT DISTINCT {path} AS path, coalesce(text, '') AS text FROM documents),
+total AS (SELECT count(*) AS n FROM f),
+df AS (SELECT word, count(*) AS n FROM (
+         SELECT unnest(list_distinct({split("text")})) AS word FROM f) GROUP BY word),
+idf AS (SELECT DISTINCT tw.word, ln((1 + total.n) / (1 + coalesce(df.n, 0))) + 1 AS idf
+        FROM tw CROSS JOIN total LEFT JOIN df ON df.word = tw.word),
+tn AS (SELECT template, sqrt(sum((tw.n * idf) * (tw.n * idf))) AS norm FROM tw JOIN idf USING (word) GROUP BY template),
+tv AS (SELECT template, licence, word, tw.n * idf / norm AS value FROM tw JOIN idf USING (word) JOIN tn USING (template)),
+l AS (SELECT path, i AS line, {split("part")} AS words FROM (
+        SELECT path, unnest(parts) AS part, generate_subscripts(parts, 1) AS i
+        FROM (SELECT path, string_split(text, chr(10)) AS parts FROM f))),
+c AS (SELECT path, line, word, count(*) AS n FROM (SELECT path, line, unnest(words) AS word FROM l) GROUP BY ALL),
+w AS (SELECT path, line, c.word, c.n * coalesce(idf.idf, (SELECT ln(1 + n) + 1 FROM total)) AS weight
+      FROM c LEFT JOIN idf ON idf.word = c.word),
+n AS (SELECT path, line, sqrt(sum(weight * weight)) AS norm FROM w GROUP BY path, line),
+p AS (SELECT path, line, template, licence, sum(weight * value) AS product FROM w JOIN tv USING (word) GROUP BY ALL),
+s AS (SELECT path, line, licence, round(product / norm, 6) AS score FROM p JOIN n USING (path, line)
+      WHERE round(product / norm, 6) >= {licences.THRESHOLD}),
+b AS (SELECT path, line, licence, score FROM s
+      QUALIFY row_number() OVER (PARTITION BY path, line ORDER BY score DESC, licence) = 1),
+own AS (SELECT path, arg_min(licence, (-score, licence)) AS licence, max(score) AS score, sum(len(words)) AS licence_words
+        FROM b JOIN l USING (path, line) GROUP BY path),
+lf AS (SELECT own.*, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM own JOIN f USING (path)
+       WHERE licence_words >= {licences.FILE_SHARE} * len({split("text")})),
+d AS (SELECT dir, arg_min(licence, (-score, licence)) AS licence, max(score) AS score FROM lf GROUP BY dir),
+h AS (SELECT f.path, d.dir, d.licence, d.score FROM f JOIN d
+        ON d.dir = '' OR regexp_extract(f.path, '^(.*)/[^/]*$', 1) = d.dir
+        OR starts_with(regexp_extract(f.path, '^(.*)/[^/]*$', 1), d.dir || '/')
+      QUALIFY row_number() OVER (PARTITION BY f.path ORDER BY length(d.dir) DESC) = 1)
+SELECT f.path, coalesce(own.licence, h.licence) AS licence, coalesce(own.score, h.score) AS score,
+       CASE WHEN own.licence IS NOT NULL THEN 'header' WHEN h.licence IS NOT NULL THEN 'inherited' END AS origin,
+       CASE WHEN own.licence IS NULL THEN h.dir END AS from_dir, e.doc_id
+FROM f JOIN (SELECT doc_id, {path} AS path FROM documents) e USING (path) LEFT JOIN own USING (path) LEFT JOIN h USING (path)
+"""
+
+
+@query("op4_license_scan", _licence_sql())
+def _licences(spark, folder):
+    docs = table(spark, folder, "documents").withColumn("path", F.expr(_PATH.format("div", "string", "string")))
+    found = licences.scan(docs)
+    return docs.select("doc_id", "path").join(found.drop("mark"), "path")
