@@ -10,25 +10,32 @@ from starloom.session import cut_lineage
 
 
 def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Keep the row that comes first by ``order`` among rows with an equal key.
+    """Keep the row that comes first by ``order`` among rows with an equal key; exactly one.
 
-    Null keys are equal to each other. Only the key and order columns are
-    aggregated, with partial results before the shuffle, and only keys that
-    occur more than once reach the join; wide rows stay where they are unless
-    repeated keys are too many to broadcast.
+    Null keys are equal to each other; of rows that tie on ``order`` the one with the least
+    row hash stays, and of rows equal in every column any. Only the key, the order columns
+    and the hash are aggregated, with partial results before each shuffle, and only keys that
+    occur more than once reach the join; wide rows stay where they are unless repeated keys
+    are too many to broadcast or the first row itself has exact copies.
     """
-    first = (
-        df.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_first"))
-        .where("_n > 1")
-        .select(*key, *[F.col(f"_first.{c}").alias(f"_first_{c}") for c in order])
-    )
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_hash")
+    levels = df.select(*key, *[F.col(c).alias(f"_first_{c}") for c in order], hashed) \
+        .groupBy(*key, *[f"_first_{c}" for c in order], "_hash").agg(F.count(F.lit(1)).alias("_copies"))
+    first = levels.groupBy(*key).agg(
+        F.sum("_copies").alias("_n"),
+        F.min(F.struct(*[f"_first_{c}" for c in order], F.col("_hash").alias("_first_hash"), "_copies")).alias("_first"),
+    ).where("_n > 1").select(*key, "_first.*")
     repeated = cut_lineage(first.withColumn("_repeated", F.lit(True)))
+    copied = not repeated.where("_copies > 1").isEmpty()
     marked = lookup_join(df, repeated, key, null_safe=True)
-    is_first = F.lit(True)
+    is_first = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) == F.col("_first_hash")
     for c in order:
         is_first = is_first & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
-    return marked.where(F.col("_repeated").isNull() | is_first).select(*df.columns)
+    if not copied:
+        return marked.where(F.col("_repeated").isNull() | is_first).select(*df.columns)
+    alone = F.col("_repeated").isNull() | (is_first & (F.col("_copies") == 1))
+    return marked.where(alone).select(*df.columns).unionByName(
+        marked.where(is_first & (F.col("_copies") > 1)).select(*df.columns).dropDuplicates())
 
 
 def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:

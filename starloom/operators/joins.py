@@ -7,8 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import cut_lineage
+
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 0.001
+# A key is hot from this part of an average partition on; it is cut into shares of that size.
+HOT_PART = 0.25
 
 
 def frame_bytes(df: DataFrame) -> int:
@@ -25,6 +28,17 @@ def fits_broadcast(df: DataFrame) -> bool:
     return frame_bytes(df) <= BROADCAST_BYTES
 
 
+def attach(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join a lookup without running anything first.
+
+    It is broadcast if the optimizer's own size estimate, an upper bound for stored tables
+    read as they are, stays below the limit; otherwise the join is left to adaptive
+    execution, which splits hot keys.
+    """
+    estimate = int(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.join(F.broadcast(lookup) if estimate <= BROADCAST_BYTES else lookup, on, how)
+
+
 def _same(left: DataFrame, right: DataFrame, pairs, null_safe: bool) -> Column:
     tests = [
         left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in pairs
@@ -32,14 +46,16 @@ def _same(left: DataFrame, right: DataFrame, pairs, null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
-    """Hashes of the keys that may hold more than a thousandth of the rows.
+def hot_keys(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
+    """(h, shares): hashes of the keys that hold more than ``HOT_PART`` of an average partition.
 
-    One pass over the key columns; there are at most a thousand such keys. A key
-    listed without need only costs a few copied lookup rows.
+    From exact counts per key, added up in the tasks first. At most ``partitions / HOT_PART``
+    keys can be that large, so the frame has a size bound that does not depend on the rows.
     """
-    hashes = df.select(F.xxhash64(*keys).alias("h"))
-    return list(hashes.stat.freqItems(["h"], HOT_SHARE).first()[0])
+    counts = cut_lineage(df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n")))
+    part = HOT_PART * (counts.agg(F.sum("n").alias("n")).first().n or 0) / partitions
+    return cut_lineage(counts.where(F.col("n") > max(part, 1)).select(
+        "h", F.least(F.ceil(F.col("n") / max(part, 1)), F.lit(partitions)).cast("int").alias("shares")))
 
 
 def lookup_join(
@@ -51,7 +67,8 @@ def lookup_join(
     A lookup whose measured size is small is broadcast. A larger one is shuffled
     on the key; rows of hot keys are then spread over salted copies of their
     lookup rows, so no task receives all rows of one key. The salt is a hash of
-    the row itself: a repeated task computes the same one.
+    the row itself: a repeated task computes the same one (rows equal in all
+    columns stay together).
     """
     types = dict(df.dtypes)
     values = [c for c in lookup.columns if c not in on]
@@ -63,23 +80,15 @@ def lookup_join(
         joined = df.join(F.broadcast(right), _same(df, right, pairs, null_safe), how)
         return joined.select(*df.columns, *values)
 
-    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(df, on)
-    left = df.withColumn(
-        "_salt",
-        F.when(F.xxhash64(*on).isin(hot), F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-        .otherwise(0).cast("int"),
-    )
-    right = right.withColumn(
-        "_salt_copy",
-        F.explode(
-            F.when(F.xxhash64(*[b for _, b in pairs]).isin(hot),
-                   F.sequence(F.lit(0), F.lit(salts - 1)))
-            .otherwise(F.array(F.lit(0)))
-        ),
-    )
+    hot = hot_keys(df, on, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hashed = F.xxhash64(*[F.col(f"`{k}`") for k in on])
+    left = df.withColumn("_h", hashed).join(F.broadcast(hot), F.col("_h") == F.col("h"), "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(*df.columns), F.col("shares")), F.lit(0)).cast("int"))
+    right = right.withColumn("_h", F.xxhash64(*[b for _, b in pairs])).join(
+        F.broadcast(hot), F.col("_h") == F.col("h"), "left").withColumn(
+        "_salt_copy", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))).drop("_h", "h", "shares")
     same = _same(left, right, pairs, null_safe) & (left["_salt"] == right["_salt_copy"])
-    return left.join(right, same, how).select(*df.columns, *values)
+    return left.join(right, same, how).select(*[left[c] for c in df.columns], *values)
 
 
 def _renamed(df: DataFrame, on: list[str]) -> tuple[DataFrame, list[tuple[str, str]]]:

@@ -5,62 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import lookup_join
+from starloom.session import cut_lineage
 
-SLOTS = 1024
-ROWS_PER_SLOT = 1_000_000
 PAGE_BITS = 16
 
 
-def number_rows(
-    df: DataFrame, key: list[str], name: str, start: int = 0, rows: int = 0
-) -> DataFrame:
-    """Number rows with distinct keys start+1, start+2, ... without gaps.
+def number_rows(df: DataFrame, name: str, start: int = 0, stored: bool = False) -> DataFrame:
+    """Number rows start+1, start+2, ... without gaps, in the order they are stored.
 
-    Rows are spread over slots by a hash of their key and numbered inside their
-    slot; a slot starts where the slots before it end. The result depends on the
-    keys alone, so a repeated task gives equal numbers. ``rows``, the row count of
-    a long frame, adds slots so that none holds much more than a million rows.
+    The frame is written first unless it already is what ``cut_lineage`` returned. A row's
+    number is its place in its file plus the rows of the files before, so no row is moved or
+    sorted and a repeated task gives equal numbers, at any number of rows. One small row per
+    file is ordered in one task and joined.
     """
-    slots = max(SLOTS, rows // ROWS_PER_SLOT)
-    slotted = df.withColumn("_slot", F.pmod(F.xxhash64(*key), F.lit(slots)).cast("int"))
-    sizes = slotted.groupBy("_slot").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per slot: one task orders them and every task can hold them.
-    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_slot", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_slot").orderBy(*key)
+    frame = df if stored else cut_lineage(df)
+    placed = frame.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     return (
-        slotted.withColumn("_place", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_slot")
-        .withColumn(name, (F.lit(start) + F.col("_before") + F.col("_place")).cast("long"))
-        .drop("_slot", "_before", "_place")
+        placed.join(offsets, "_file")
+        .withColumn(name, (F.lit(start) + F.col("_before") + F.col("_place") + 1).cast("long"))
+        .drop("_file", "_place", "_before")
     )
 
 
 def with_percent_rank(df: DataFrame, value: str, name: str, scale: int = 1) -> DataFrame:
-    """percent_rank() of ``value`` over all rows, as an unrounded fraction.
+    """percent_rank() of ``value`` over all rows, as an unrounded fraction; nulls come last.
 
     ``value * scale`` must be a whole number of 32 bits. Rows are first counted per
     distinct value, which removes ties; values are then summed up inside pages of
     65,536 neighbouring values, and pages after each other. Neither a page nor
-    the list of pages can outgrow one task. ``df`` is read more than once: pass a
-    stored frame.
+    the list of pages can outgrow one task. Nothing runs before the result is asked for;
+    ``df`` is read more than once: pass a stored frame if it is costly.
     """
     code = F.round(F.col(value) * F.lit(scale)).cast("int")
-    counts = df.groupBy(code.alias("_code")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(code.alias("_code")).agg(F.count(F.lit(1)).alias("_n"))
     paged = counts.withColumn("_page", F.shiftright("_code", PAGE_BITS))
     pages = paged.groupBy("_page").agg(F.sum("_n").alias("_page_n"))
     earlier = Window.orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)
     starts = pages.select("_page", F.coalesce(F.sum("_page_n").over(earlier), F.lit(0)).alias("_start"))
     inside = Window.partitionBy("_page").orderBy("_code").rowsBetween(Window.unboundedPreceding, -1)
     total = df.agg(F.count(F.lit(1))).scalar()
-    ranks = (
-        paged.withColumn("_below", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(F.broadcast(starts), "_page")
-        .select(
-            "_code",
-            F.when(total > 1, (F.col("_start") + F.col("_below")) / (total - 1))
-            .otherwise(0.0).alias(name),
-        )
-    )
-    return lookup_join(df.withColumn("_code", code), ranks, ["_code"]).drop("_code")
+    known = df.agg(F.count(value)).scalar()
+    below = paged.withColumn("_below", F.coalesce(F.sum("_n").over(inside), F.lit(0))) \
+        .join(F.broadcast(starts), "_page").select(F.col("_code").alias("_on"), (F.col("_start") + F.col("_below")).alias("_less"))
+    ranked = df.withColumn("_code", code).join(below, F.col("_code") == F.col("_on"), "left")
+    rank = F.when(total > 1, F.coalesce("_less", known) / (total - 1)).otherwise(0.0)
+    return ranked.withColumn(name, rank).drop("_code", "_on", "_less")

@@ -8,6 +8,7 @@ which read the order tables as reviews, and states the result in SQL terms
 from __future__ import annotations
 
 from starloom.schemas import DIM_DATE, NF_PRODUCT, NF_REVIEW, PROFILE_ATTRIBUTES, RAW_PRODUCT_COLUMNS
+from starloom.sources.tpch_reviews import BAD_VALUES
 
 _BASE = """
 WITH lines AS (
@@ -372,21 +373,26 @@ _layer_rows = {
 _add("layer_counts", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, {text} AS rows, "
     f"CAST({25 if n == 'nf.brand' else 'NULL'} AS BIGINT) AS expected" for n, text in _layer_rows.items()))
-_add("layer_gaps", """SELECT count(*) AS raw_rows, count(*) AS nf_rows, count(*) AS staged_rows,
-     CAST(0 AS BIGINT) AS gap FROM kept""")
+_add("layer_gaps", """
+  SELECT 'review' AS entity, count(*) AS raw_rows, count(*) AS nf_rows,
+         count(*) FILTER (WHERE source_row_id % 43 <> 0) AS staged_rows,
+         count(*) FILTER (WHERE source_row_id % 43 = 0) AS gap FROM kept
+  UNION ALL SELECT 'product', count(*), count(*), count(*) FILTER (WHERE p_size % 8 <> 3),
+         count(*) FILTER (WHERE p_size % 8 = 3) FROM part""")
 _add("row_accounting", """
   SELECT CAST(1 AS BIGINT) AS place, 'raw.reviews' AS stage, count(*) AS rows FROM kept
   UNION ALL SELECT 2, 'nf.review', count(*) FROM kept
   UNION ALL SELECT 3, 'staging.review', count(*) FROM kept
   UNION ALL SELECT 4, 'dw.fact_reviews', count(*) FROM kept WHERE submission_date < DATE '2001-01-01'""")
 _add("integrity_checks", """
-  SELECT 'reviews without product' AS check_name, (SELECT count(*) FROM kept
+  SELECT 'reviews without product' AS check_name, (SELECT count(*) FROM twice
     WHERE product_id NOT IN (SELECT product_id FROM product WHERE p_size <= 48)) AS bad
-  UNION ALL SELECT 'reviews without author', 0
-  UNION ALL SELECT 'products without brand', 0
-  UNION ALL SELECT 'products without category', 0
-  UNION ALL SELECT 'staged reviews without attribute', 0
-  UNION ALL SELECT 'repeated load keys', 0""")
+  UNION ALL SELECT 'reviews without author', (SELECT count(*) FROM twice WHERE author_id::BIGINT % 7 = 0)
+  UNION ALL SELECT 'products without brand', (SELECT count(*) FROM product WHERE p_size <= 48 AND brand_key = 25)
+  UNION ALL SELECT 'products without category', (SELECT count(*) FROM product WHERE p_size <= 48 AND p_size % 8 = 3)
+  UNION ALL SELECT 'staged reviews without attribute', (SELECT count(*) FROM kept WHERE source_row_id % 37 = 0)
+  UNION ALL SELECT 'repeated load keys', (SELECT count(*) FROM kept WHERE source_row_id % 41 = 0)""",
+     twice="SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE source_row_id % 41 = 0")
 _add("cutoff_split", """
   SELECT count(*) FILTER (WHERE submission_date < DATE '2001-01-01') AS full_load_rows,
          count(*) FILTER (WHERE submission_date >= DATE '2001-01-01') AS incremental_rows,
@@ -421,7 +427,7 @@ _clean_review = """
          CAST(l_tax AS DECIMAL(10,2))::DOUBLE AS price_usd, source_file,
          CAST(length(review_text) AS BIGINT) AS review_length"""
 _add("cleaned_reviews", f"{_clean_review} FROM kept")
-_add("csv_reviews", f"SELECT * EXCLUDE (source_file) FROM ({_clean_review} FROM raw)")
+_add("csv_reviews", f"{_clean_review} FROM files")
 _add("csv_catalogue", """
   SELECT product_id, price_usd::VARCHAR AS price_usd,
          CASE WHEN product_key % 9 = 0 THEN (price_usd - 1)::VARCHAR END AS sale_price_usd FROM product
@@ -544,69 +550,167 @@ _add("batch_hand_over", """
   SELECT n AS first, n AS again, n AS held, n AS removed, CAST(0 AS BIGINT) AS left,
          five AS other_staged, five AS other_read
   FROM (SELECT count(*) AS n, count(*) FILTER (WHERE rating = 5) AS five FROM fact)""")
-_run_counts = f"""
-  SELECT max(submission_date) FILTER (WHERE old)::VARCHAR AS mark, max(submission_date)::VARCHAR AS latest,
-         count(*) FILTER (WHERE old) AS first_rows, count(*) FILTER (WHERE submission_date > m) AS new_rows,
-         count(*) AS all_rows, count(DISTINCT author_id) AS customers,
-         count(DISTINCT (skin_tone, skin_type, eye_color, hair_color)) AS profiles
-  FROM (SELECT *, submission_date >= DATE '2000-01-01' AND {_before} AS old, {_mark} AS m FROM fact)"""
-_add("load_runs", f"""
-  SELECT CAST(1 AS BIGINT) AS run, 'historical' AS mode, CAST(NULL AS VARCHAR) AS watermark,
-         mark AS watermark_after, first_rows AS rows_extracted, first_rows AS rows_transformed,
-         CAST(0 AS BIGINT) AS rows_dropped, first_rows AS rows_inserted, CAST(0 AS BIGINT) AS rows_already_present,
-         (SELECT count(DISTINCT p_brand) FROM part) AS brand_inserted,
-         (SELECT count(*) FROM part) AS product_inserted, customers AS customer_inserted,
-         profiles AS profile_inserted, {_days} AS date_inserted FROM counts
-  UNION ALL SELECT 2, 'incremental', mark, latest, new_rows, new_rows, 0, new_rows, 0, 0, 0, 0, 0, 0 FROM counts
-  UNION ALL SELECT 3, 'full', NULL, latest, all_rows, all_rows, 0, all_rows - first_rows - new_rows,
-                   first_rows + new_rows, 0, 0, 0, 0, 0 FROM counts
-  UNION ALL SELECT 4, 'incremental', latest, latest, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0 FROM counts""",
-     counts=_run_counts)
+_last_day = "DATE '2001-06-30'"
+_run_facts = f"""
+  SELECT f.*, p.p_size <= 48 AS known, source_row_id % 9 <> 0 AS prompt,
+         submission_date >= DATE '2000-01-01' AND {_before} AS old, submission_date <= {_last_day} AS early
+  FROM fact f JOIN part p ON p.p_partkey = f.product_key"""
+_second = "(old OR submission_date > m1)"
+_run_marks = {
+    "mark_1": """SELECT max(submission_date) AS m1 FROM runs WHERE old AND prompt AND early AND known""",
+    "mark_2": f"""SELECT m1, max(submission_date) FILTER (WHERE early AND prompt AND known AND {_second}) AS m2
+                  FROM runs, mark_1 GROUP BY ALL""",
+    "mark_3": f"""SELECT m1, m2, max(submission_date) FILTER (
+                    WHERE early AND known AND ((prompt AND {_second}) OR submission_date > m2)) AS m3
+                  FROM runs, mark_2 GROUP BY ALL""",
+    "marks": """SELECT m1, m2, m3, max(submission_date) FILTER (WHERE early AND known) AS m4,
+                       max(submission_date) FILTER (WHERE known) AS m5 FROM runs, mark_3 GROUP BY ALL"""}
+# Which staged reviews each run extracts, passes over as late, and finds present.
+_run_rules = (
+    (1, "historical", None, "m1", "prompt AND early", "false", "old", "false", "false"),
+    (2, "incremental", "m1", "m2", "prompt AND early", "prompt AND early", "submission_date > m1",
+     "submission_date <= m1 AND NOT (old AND known)", "false"),
+    (3, "incremental", "m2", "m3", "early", "prompt AND early", "submission_date > m2",
+     f"submission_date <= m2 AND NOT (prompt AND known AND {_second})", "false"),
+    (4, "full", None, "m4", "early", "early", "true", "false",
+     f"(prompt AND {_second}) OR submission_date > m2"),
+    (5, "incremental", "m4", "m5", "true", "early", "submission_date > m4",
+     "submission_date <= m4 AND NOT (early AND known)", "false"),
+)
+
+
+def _run_sql(run, mode, mark, after, staged, seen, batch, late, present) -> str:
+    zero = "CAST(0 AS BIGINT)"
+    once = run == 1
+    days = "date_diff('day', min(submission_date) FILTER (WHERE {0}), max(submission_date) FILTER (WHERE {0})) + 61"
+
+    def added(what):
+        return f"count(DISTINCT {what}) FILTER (WHERE {staged}) - count(DISTINCT {what}) FILTER (WHERE {seen})"
+
+    def rows(*rules):
+        return f"count(*) FILTER (WHERE ({staged}) AND " + " AND ".join(f"({r})" for r in rules) + ")"
+
+    return f"""
+  SELECT CAST({run} AS BIGINT) AS run, '{mode}' AS mode,
+         {f"any_value({mark})::VARCHAR" if mark else "CAST(NULL AS VARCHAR)"} AS watermark,
+         any_value({after})::VARCHAR AS watermark_after, {rows(batch)} AS rows_extracted,
+         {rows(batch, "known")} AS rows_transformed, {rows(batch, "NOT known")} AS rows_dropped,
+         {rows(batch, "NOT known")} AS dropped_unresolved_product, {zero} AS dropped_unresolved_customer,
+         {zero} AS dropped_unresolved_reviewer_profile, {zero} AS dropped_out_of_range_date,
+         {rows(late, "known")} AS rows_late, {rows(late, "NOT known")} AS rows_late_unusable,
+         {rows(batch, "known", f"NOT ({present})")} AS rows_inserted,
+         {rows(batch, "known", present)} AS rows_already_present,
+         {"(SELECT count(DISTINCT p_brand) FROM part WHERE p_size <= 48)" if once else zero} AS brand_inserted,
+         {"(SELECT count(*) FROM part WHERE p_size <= 48)" if once else zero} AS product_inserted,
+         {added("author_id")} AS customer_inserted,
+         {added("(skin_tone, skin_type, eye_color, hair_color)")} AS profile_inserted,
+         ({days.format(staged)}) - {zero if once else f"({days.format(seen)})"} AS date_inserted
+  FROM runs, marks"""
+
+
+_add("load_runs", " UNION ALL ".join(_run_sql(*rule) for rule in _run_rules), runs=_run_facts, **_run_marks)
+_add("views_after_load", " UNION ALL ".join(
+    f"SELECT '{view}' AS view_name, count(*) AS rows, sum({measure})::BIGINT AS reviews FROM ({_sql[name]})"
+    for view, name, measure in (
+        ("vw_rating_by_brand", "rating_by_brand", "review_count"),
+        ("vw_rating_by_category", "rating_by_category", "review_count"),
+        ("vw_review_trend_monthly", "review_trend_monthly", "review_count"),
+        ("vw_rating_by_price_band", "rating_by_price_band", "review_count"),
+        ("vw_rating_by_skin_type", "rating_by_profile_type", "review_count"),
+        ("vw_kpi_summary", "kpi_summary", "total_reviews"),
+        ("vw_hype_vs_reality", "hype_vs_reality", "review_count"),
+        ("vw_review_volume_by_month", "volume_by_month", "review_count"),
+        ("vw_rating_by_skin_tone", "rating_by_profile_tone", "review_count"),
+        ("vw_rating_by_review_length", "rating_by_length", "review_count"),
+        ("vw_rating_by_brand_category", "rating_by_brand_category", "review_count"))))
+_add("ingest_counts", """
+  SELECT 'good' AS step, p AS products, r AS reviews FROM n UNION ALL SELECT 'refused', p, r FROM n
+  UNION ALL SELECT 'repeated', p, r FROM n UNION ALL SELECT 'appended', p + few, r + five FROM n""", n="""
+  SELECT (SELECT count(*) FROM part) AS p, (SELECT count(*) FROM kept) AS r,
+         (SELECT count(*) FROM part WHERE p_size % 4 = 1) AS few, (SELECT count(*) FROM kept WHERE rating = 5) AS five""")
+_add("stored_layer_counts", " UNION ALL ".join(
+    f"SELECT CAST({landing} AS BIGINT) AS landing, '{n}' AS table_name, {text} AS rows"
+    for landing in (1, 2) for n, text in _layer_rows.items()))
 
 # --- quality ---------------------------------------------------------------------------------
 
-_hard = "'hard_failure' AS severity"
+_gate = """SELECT *, source_row_id % 11 = 0 AS rated, source_row_id % 13 = 0 AS less, source_row_id % 17 = 0 AS pos,
+                   source_row_id % 19 = 0 AS neg FROM known"""
 _add("quality_report", """
   SELECT CAST(1 AS BIGINT) AS check_order, 'row_count' AS "check", 'hard_failure' AS severity,
-         n >= 1 AS passed, printf('%d rows (min: 1)', n) AS detail FROM q
+         n >= 1 AS passed, printf('%d rows, at least 1 wanted', n) AS detail FROM q
   UNION ALL SELECT 2, 'no_null_keys', 'hard_failure', p + c + r + d = 0,
-    printf('product_key: %d nulls, customer_key: %d nulls, reviewer_profile_key: %d nulls, date_key: %d nulls',
-           p, c, r, d) FROM q
-  UNION ALL SELECT 3, 'no_negative_values', 'hard_failure', true,
-    'total_feedback_count: 0 negative values, total_pos_feedback_count: 0 negative values, '
-    || 'total_neg_feedback_count: 0 negative values' FROM q
-  UNION ALL SELECT 4, 'unique_key', 'hard_failure', true,
-    '0 duplicate row(s) on (source_row_id, product_id)' FROM q
-  UNION ALL SELECT 5, 'value_range', 'hard_failure', true, 'rating: 0 value(s) outside [1, 5]' FROM q
+    printf('missing: product_key %d, customer_key %d, reviewer_profile_key %d, date_key %d', p, c, r, d) FROM q
+  UNION ALL SELECT 3, 'no_negative_values', 'hard_failure', less + pos + neg = 0,
+    printf('below zero: total_feedback_count %d, total_pos_feedback_count %d, total_neg_feedback_count %d',
+           less, pos, neg) FROM q
+  UNION ALL SELECT 4, 'unique_key', 'hard_failure', surplus = 0,
+    printf('%d surplus rows by source_row_id, product_id', surplus) FROM q
+  UNION ALL SELECT 5, 'value_range', 'hard_failure', rated = 0, printf('%d times rating is not 1 to 5', rated) FROM q
   UNION ALL SELECT 6, 'null_rate', 'warning', unasked <= 30,
-    printf('is_recommended: %.2f%% null (expected <= 30.00%%)', unasked) FROM q
+    printf('%.2f%% of is_recommended missing, up to 30.00%% allowed', unasked) FROM q
   UNION ALL SELECT 7, 'null_rate', 'warning', unvoted <= 80,
-    printf('helpfulness: %.2f%% null (expected <= 80.00%%)', unvoted) FROM q""", q="""
+    printf('%.2f%% of helpfulness missing, up to 80.00%% allowed', unvoted) FROM q""", gate=_gate,
+     gated="SELECT * FROM gate UNION ALL SELECT * FROM gate WHERE source_row_id % 23 = 0", q="""
   SELECT count(*) AS n, count(*) FILTER (WHERE NOT coalesce(has_product, false)) AS p,
          count(*) FILTER (WHERE NOT coalesce(has_customer, false)) AS c,
          count(*) FILTER (WHERE NOT has_profile) AS r, count(*) FILTER (WHERE NOT has_date) AS d,
+         count(*) FILTER (WHERE less) AS less, count(*) FILTER (WHERE pos) AS pos, count(*) FILTER (WHERE neg) AS neg,
+         count(*) FILTER (WHERE rated) AS rated, count(*) - count(DISTINCT (source_row_id, product_id)) AS surplus,
          count(*) FILTER (WHERE is_recommended IS NULL) * 100::DOUBLE / count(*) AS unasked,
          count(*) FILTER (WHERE helpfulness IS NULL) * 100::DOUBLE / count(*) AS unvoted
-  FROM known""")
+  FROM gated""")
 _add("product_quality_report", """
   SELECT CAST(1 AS BIGINT) AS check_order, 'row_count' AS "check", 'hard_failure' AS severity,
-         count(*) >= 1 AS passed, printf('%d rows (min: 1)', count(*)) AS detail FROM part
-  UNION ALL SELECT 2, 'no_null_keys', 'hard_failure', true, 'brand_key: 0 nulls'
-  UNION ALL SELECT 3, 'no_negative_values', 'hard_failure', true,
-    'price_usd: 0 negative values, loves_count: 0 negative values'
-  UNION ALL SELECT 4, 'unique_key', 'hard_failure', true, '0 duplicate row(s) on (product_id)'""")
-_rules = [("nf.review", f"not_null_{c}", "0") for c in NF_REVIEW.required]
-_rules += [("nf.review", c, "0") for c in NF_REVIEW.checks if c != "helpfulness_only_with_votes"]
-_rules += [("nf.review", "helpfulness_only_with_votes",
-            "(SELECT count(*) FROM kept WHERE total_feedback_count = 0)")]
-_rules += [("nf.product", f"not_null_{c}", "0") for c in NF_PRODUCT.required]
-_rules += [("nf.product", c, "0") for c in NF_PRODUCT.checks if c != "price_positive"]
-_rules += [("nf.product", "price_positive", "(SELECT count(*) FROM product WHERE price_usd <= 5)")]
-_rules += [("dw.dim_date", f"not_null_{c}", "0") for c in DIM_DATE.required]
-_rules += [("dw.dim_date", c, "0") for c in DIM_DATE.checks]
-_add("constraint_report", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS \"constraint\", CAST({bad} AS BIGINT) AS bad_rows"
-    for t, c, bad in _rules))
+         count(*) >= 1 AS passed, printf('%d rows, at least 1 wanted', count(*)) AS detail FROM twice
+  UNION ALL SELECT 2, 'no_null_keys', 'hard_failure', count(*) = 0, printf('missing: brand_key %d', count(*))
+    FROM twice WHERE brand_key = 25
+  UNION ALL SELECT 3, 'no_negative_values', 'hard_failure',
+    count(*) FILTER (WHERE product_key % 10 = 0 OR product_key % 12 = 0) = 0,
+    printf('below zero: price_usd %d, loves_count %d', count(*) FILTER (WHERE product_key % 10 = 0),
+           count(*) FILTER (WHERE product_key % 12 = 0)) FROM twice
+  UNION ALL SELECT 4, 'unique_key', 'hard_failure', count(*) = 0, printf('%d surplus rows by product_id', count(*))
+    FROM product WHERE product_key % 14 = 0""",
+     twice="SELECT * FROM product UNION ALL SELECT * FROM product WHERE product_key % 14 = 0")
+
+
+def _faulted(table, name: str, columns: dict[str, str], number: str, source: str) -> str:
+    """The rows of a table with the faults of the query, then one count per rule."""
+    bad = list(BAD_VALUES[name].items())
+    out = []
+    for c, text in columns.items():
+        for i, (column, value) in enumerate(bad):
+            if c == column:
+                text = f"CASE WHEN (number + {i}) % 31 = 0 THEN {value} ELSE {text} END"
+        if c in table.required:
+            text = f"CASE WHEN (number + {table.required.index(c)}) % 29 <> 0 THEN {text} END"
+        out.append(f"{text} AS {c}")
+    rows = f"SELECT {', '.join(out)} FROM (SELECT *, {number} AS number FROM {source})"
+    rules = {f"not_null_{c}": f"{c} IS NULL" for c in table.required}
+    rules |= {c: f"NOT ({rule})" for c, rule in table.checks.items()}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{c}' AS \"constraint\", count(*) FILTER (WHERE {test}) AS bad_rows "
+        f"FROM ({rows})" for c, test in rules.items())
+
+
+_review_columns = {c: c for c in (
+    "source_row_id", "source_file", "author_id", "product_id", "submission_date", "rating", "helpfulness",
+    "total_feedback_count", "total_pos_feedback_count", "total_neg_feedback_count")}
+_review_columns |= {"review_id": "source_row_id", "review_length": "length(review_text)"}
+_product_columns = {c: c for c in ("product_id", "product_name", "price_usd", "loves_count", "limited_edition", "new",
+                                   "online_only", "out_of_stock", "retailer_exclusive")}
+_product_columns |= {"brand_id": "brand_key", "category_id": "1", "child_count": "p_size % 4",
+                     "reviews": "product_key % 500", "rating": "CASE WHEN product_key % 11 <> 0 THEN 1 + p_size % 5 END"}
+_day_columns = {
+    "date_key": "number", "full_date": "day", "year": "year(day)", "quarter": "quarter(day)", "month": "month(day)",
+    "month_name": "monthname(day)", "week": "week(day)", "day": "day(day)", "day_of_week": "isodow(day)",
+    "day_name": "dayname(day)", "is_weekend": "isodow(day) > 5"}
+_add("constraint_report", " UNION ALL ".join((
+    _faulted(NF_REVIEW, "nf.review", _review_columns, "source_row_id", "kept"),
+    _faulted(NF_PRODUCT, "nf.product", _product_columns, "product_key", "product"),
+    _faulted(DIM_DATE, "dw.dim_date", _day_columns, "CAST(strftime(day, '%Y%m%d') AS BIGINT)", "days"))), days="""
+  SELECT unnest(generate_series(min(submission_date) - INTERVAL 30 DAY, max(submission_date) + INTERVAL 30 DAY,
+                                INTERVAL 1 DAY))::DATE AS day FROM kept""")
 _add("unique_report", """
   SELECT 'unique_product_id' AS "constraint", count(*) FILTER (WHERE p_partkey % 50 = 0) AS bad_rows FROM part
   UNION ALL SELECT 'unique_order_line', CAST(sum(n - 1) AS BIGINT)
@@ -614,14 +718,15 @@ _add("unique_report", """
 _add("reference_report", """
   SELECT 'references_dim_product_product_key' AS "constraint",
          count(*) FILTER (WHERE NOT coalesce(has_product, false)) AS bad_rows FROM known
-  UNION ALL SELECT 'references_dim_customer_customer_key', 0
+  UNION ALL SELECT 'references_dim_customer_customer_key',
+    count(*) FILTER (WHERE NOT coalesce(has_customer, false)) FROM known
   UNION ALL SELECT 'references_dim_reviewer_profile_reviewer_profile_key',
     count(*) FILTER (WHERE NOT has_profile) FROM known
   UNION ALL SELECT 'references_dim_date_date_key', count(*) FILTER (WHERE NOT has_date) FROM known
-  UNION ALL SELECT 'references_dim_brand_brand_key', 0""")
+  UNION ALL SELECT 'references_dim_brand_brand_key', count(*) FROM product WHERE p_size <= 48 AND brand_key = 25""")
 _add("referential_check", """
   SELECT 'referential_integrity' AS "check", 'hard_failure' AS severity, count(*) = 0 AS passed,
-         printf('%d rows with product_key not found in dim_product', count(*)) AS detail
+         printf('%d times product_key is not in dim_product', count(*)) AS detail
   FROM known WHERE NOT coalesce(has_product, false)""")
 
 # --- profiling -------------------------------------------------------------------------------

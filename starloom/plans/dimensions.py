@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starloom.functions.columns import count_if, date_key, price_band
 from starloom.operators.joins import lookup_join
 from starloom.operators.quality import PRODUCT_CHECKS, run_quality_checks
-from starloom.operators.reconcile import reconcile_transform
+from starloom.operators.reconcile import account_for_rows
 from starloom.operators.upsert import Inserted, insert_absent
 from starloom.schemas import (
     DIM_BRAND, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_PROFILE, PRODUCT_DROP_REASONS,
@@ -85,7 +85,7 @@ def load_products(spark: SparkSession, root: str) -> Inserted:
     counts = resolved.agg(
         F.count(F.lit(1)).alias("all"), count_if(F.col("drop_reason").isNotNull()).alias("dropped")
     ).first()
-    reconcile_transform(products.count(), counts["all"] - counts.dropped,
+    account_for_rows(products.count(), counts["all"] - counts.dropped,
                         {PRODUCT_DROP_REASONS[0]: counts.dropped}, "dim_product")
     run_quality_checks(rows, "dim_product", PRODUCT_CHECKS)
     return insert_absent(rows, root, DIM_PRODUCT, unique=True, stored=True)

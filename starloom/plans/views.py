@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 from starloom.functions.columns import (
     band_order, count_if, length_bucket, length_order, percent, population_stddev, ratio,
 )
-from starloom.operators.joins import lookup_join
+from starloom.operators.joins import attach
 from starloom.operators.keys import with_percent_rank
-from starloom.plans.star import Star
-from starloom.session import cut_lineage
+from starloom.plans.star import Star, read_star
 
 SKINCARE = "Skincare"
 HYPE_MIN_REVIEWS = 50
@@ -95,28 +94,39 @@ def rating_by_price_band(star: Star) -> DataFrame:
     return bands.withColumn("band_order", band_order(F.col("price_band")))
 
 
-def review_trend_monthly(star: Star) -> DataFrame:
-    n = F.count(F.lit(1))
+def _by_month(star: Star, *by: str) -> DataFrame:
+    """Totals, reviewers and products per month.
+
+    Distinct counts come from rows reduced to one per month and customer, and to one per month
+    and product, so no fact row is copied for them.
+    """
     yes, answered = _recommended()
-    return (
-        _dated(star)
-        .groupBy("year", "month", "month_name")
-        .agg(
-            n.alias("review_count"),
-            ratio(F.sum("rating"), n, 4).alias("avg_rating"),
-            percent(yes, answered).alias("recommend_pct"),
-            F.countDistinct("customer_key").alias("reviewer_count"),
-            F.countDistinct("product_key").alias("product_count"),
-            ratio(F.sum("review_length"), F.count("review_length"), 1).alias("avg_review_length"),
-        )
-        .withColumn("month_start", F.make_date("year", "month", F.lit(1)))
-    )
+    facts = _dated(star)
+    customers = facts.groupBy(*by, "customer_key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rating").alias("stars"), yes.alias("yes"), answered.alias("answered"),
+        F.sum("review_length").alias("length"), F.count("review_length").alias("lengths"),
+        F.max("submission_date").alias("last"))
+    months = customers.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in ("n", "stars", "yes", "answered", "length", "lengths")],
+        F.max("last").alias("last"), F.count("customer_key").alias("reviewer_count"))
+    products = facts.select(*by, "product_key").distinct().groupBy(*by).agg(
+        F.count("product_key").alias("product_count"))
+    return months.join(products, list(by))
+
+
+def review_trend_monthly(star: Star) -> DataFrame:
+    return _by_month(star, "year", "month", "month_name").select(
+        "year", "month", "month_name", F.col("n").alias("review_count"),
+        ratio(F.col("stars"), F.col("n"), 4).alias("avg_rating"),
+        percent(F.col("yes"), F.col("answered")).alias("recommend_pct"),
+        "reviewer_count", "product_count",
+        ratio(F.col("length"), F.col("lengths"), 1).alias("avg_review_length"),
+        F.make_date("year", "month", F.lit(1)).alias("month_start"))
 
 
 def rating_by_skin_type(star: Star, primary_category: str = SKINCARE) -> DataFrame:
     """Skin type by category, for one primary category only."""
-    typed = star.fact.join(star.profile.select("reviewer_profile_key", "skin_type"),
-                           "reviewer_profile_key")
+    typed = attach(star.fact, star.profile.select("reviewer_profile_key", "skin_type"), ["reviewer_profile_key"])
     scope = star.product.where(F.col("primary_category") == primary_category)
     groups = _totals(typed, "skin_type", "product_key").join(scope, "product_key")
     return _rolled_up(groups, "skin_type", "primary_category", "secondary_category")
@@ -124,17 +134,16 @@ def rating_by_skin_type(star: Star, primary_category: str = SKINCARE) -> DataFra
 
 def rating_by_skin_tone(star: Star) -> DataFrame:
     by = ["skin_tone", "primary_category", "secondary_category"]
-    toned = star.fact.join(star.profile.select("reviewer_profile_key", "skin_tone"),
-                           "reviewer_profile_key")
+    toned = attach(star.fact, star.profile.select("reviewer_profile_key", "skin_tone"), ["reviewer_profile_key"])
     groups = _totals(toned, "skin_tone", "product_key").join(star.product, "product_key")
     ratings = _rolled_up(groups, *by, spread=True)
 
     # A reviewer counts once per group, so this part needs the reviewers themselves.
     levels = star.product.select("product_key", "primary_category", "secondary_category")
-    pairs = toned.select("skin_tone", "product_key", "customer_key").distinct()
     reviewers = (
-        lookup_join(pairs, levels, ["product_key"], how="inner")
-        .groupBy(*by).agg(F.countDistinct("customer_key").alias("reviewer_count"))
+        attach(toned.select("skin_tone", "product_key", "customer_key"), levels, ["product_key"])
+        .select(*by, "customer_key").distinct()
+        .groupBy(*by).agg(F.count("customer_key").alias("reviewer_count"))
     )
     same = [ratings[c].eqNullSafe(reviewers[c]) for c in by]
     return ratings.join(reviewers, same[0] & same[1] & same[2]).select(
@@ -144,21 +153,27 @@ def rating_by_skin_tone(star: Star) -> DataFrame:
 
 def kpi_summary(star: Star) -> DataFrame:
     """One row. Helpfulness is averaged over reviews that received votes only."""
-    n = F.count(F.lit(1))
     yes, answered = _recommended()
     voted = F.col("total_feedback_count") > 0
-    return star.fact.agg(
+    helpful = F.when(voted, F.col("helpfulness"))
+    customers = star.fact.groupBy("customer_key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rating").alias("stars"), yes.alias("yes"), answered.alias("answered"),
+        F.sum(helpful).alias("helpful"), F.count(helpful).alias("rated"), count_if(voted).alias("voted"),
+        F.min("submission_date").alias("first"), F.max("submission_date").alias("last"))
+    products = star.fact.select("product_key").distinct()
+    n = F.coalesce(F.sum("n"), F.lit(0))
+    return customers.agg(
         n.alias("total_reviews"),
-        F.countDistinct("customer_key").alias("total_reviewers"),
-        F.countDistinct("product_key").alias("products_reviewed"),
-        ratio(F.sum("rating"), n, 4).alias("avg_rating"),
-        percent(yes, answered).alias("recommend_pct"),
-        F.round(F.avg(F.when(voted, F.col("helpfulness"))).cast("double"), 4).alias("avg_helpfulness"),
-        count_if(voted).alias("reviews_with_feedback"),
-        F.min("submission_date").alias("earliest_review"),
-        F.max("submission_date").alias("latest_review"),
+        F.count("customer_key").alias("total_reviewers"),
+        ratio(F.sum("stars"), F.sum("n"), 4).alias("avg_rating"),
+        percent(F.sum("yes"), F.sum("answered")).alias("recommend_pct"),
+        F.round((F.sum("helpful") / F.nullif(F.sum("rated"), F.lit(0))).cast("double"), 4).alias("avg_helpfulness"),
+        F.coalesce(F.sum("voted"), F.lit(0)).alias("reviews_with_feedback"),
+        F.min("first").alias("earliest_review"),
+        F.max("last").alias("latest_review"),
     ).select(
         "*",
+        products.agg(F.count("product_key")).scalar().alias("products_reviewed"),
         star.product.agg(F.count(F.lit(1))).scalar().alias("products_in_catalogue"),
         star.brand.agg(F.count(F.lit(1))).scalar().alias("total_brands"),
     )
@@ -171,14 +186,12 @@ def hype_vs_reality(star: Star, min_reviews: int = HYPE_MIN_REVIEWS) -> DataFram
     average, the gap on the unrounded ranks.
     """
     totals = product_totals(star).where(F.col("n") >= min_reviews)
-    stats = cut_lineage(
-        totals.join(star.product, "product_key").join(star.brand, "brand_key").select(
-            "product_key", "product_id", "product_name", "brand_name", "primary_category",
-            "secondary_category", "price_usd", "price_band", "loves_count",
-            F.col("n").alias("review_count"),
-            ratio(F.col("stars"), F.col("n"), 4).alias("avg_rating"),
-            percent(F.col("yes"), F.col("answered")).alias("recommend_pct"),
-        )
+    stats = totals.join(star.product, "product_key").join(star.brand, "brand_key").select(
+        "product_key", "product_id", "product_name", "brand_name", "primary_category",
+        "secondary_category", "price_usd", "price_band", "loves_count",
+        F.col("n").alias("review_count"),
+        ratio(F.col("stars"), F.col("n"), 4).alias("avg_rating"),
+        percent(F.col("yes"), F.col("answered")).alias("recommend_pct"),
     )
     ranked = with_percent_rank(stats, "loves_count", "_loves")
     ranked = with_percent_rank(ranked, "avg_rating", "_rating", scale=10_000)
@@ -196,21 +209,11 @@ def volume_by_month(star: Star) -> DataFrame:
     Frames count the months that occur, not calendar months. The cumulative
     rating is the plain mean of monthly means.
     """
-    n = F.count(F.lit(1))
-    yes, answered = _recommended()
-    monthly = (
-        _dated(star)
-        .groupBy("year", "month")
-        .agg(
-            n.alias("review_count"),
-            F.countDistinct("customer_key").alias("reviewer_count"),
-            F.countDistinct("product_key").alias("product_count"),
-            (F.sum("rating") / n).alias("_mean"),
-            percent(yes, answered).alias("recommend_pct"),
-            F.max("submission_date").alias("_last"),
-        )
-        .withColumn("month_start", F.make_date("year", "month", F.lit(1)))
-    )
+    monthly = _by_month(star, "year", "month").select(
+        "year", "month", F.col("n").alias("review_count"), "reviewer_count", "product_count",
+        (F.col("stars") / F.col("n")).alias("_mean"),
+        percent(F.col("yes"), F.col("answered")).alias("recommend_pct"),
+        F.col("last").alias("_last"), F.make_date("year", "month", F.lit(1)).alias("month_start"))
     # One row per month from here on, so an undivided window is small.
     by_month = Window.orderBy("month_start")
     last_three = by_month.rowsBetween(-2, Window.currentRow)
@@ -272,8 +275,28 @@ FULL_POPULATION = [
 ]
 
 
-def register_views(spark: SparkSession, star: Star) -> list[str]:
-    """Make every view available to SQL under its name."""
+# Warehouses whose views are registered, by session: the load refreshes them.
+_live: dict[str, tuple[str, dict]] = {}
+
+
+def register_views(spark: SparkSession, source: Star | str, **parameters) -> list[str]:
+    """Make every view available to SQL under its name. No job runs.
+
+    ``source`` is a star, or the root of a stored warehouse; the views of a warehouse follow
+    every later load of this session. ``parameters`` (primary_category, min_reviews) go to
+    the views that take them.
+    """
+    star = read_star(spark, source) if isinstance(source, str) else source
+    if isinstance(source, str):
+        _live[spark.sparkContext.applicationId] = source, parameters
     for name, view in VIEWS.items():
-        view(star).createOrReplaceTempView(name)
+        wanted = {k: v for k, v in parameters.items() if k in view.__code__.co_varnames[:view.__code__.co_argcount]}
+        view(star, **wanted).createOrReplaceTempView(name)
     return list(VIEWS)
+
+
+def refresh_views(spark: SparkSession, root: str) -> None:
+    """Point the registered views of a warehouse at its tables as they are now."""
+    live = _live.get(spark.sparkContext.applicationId)
+    if live and live[0] == root:
+        register_views(spark, root, **live[1])

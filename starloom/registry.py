@@ -19,8 +19,9 @@ from starloom.plans import (
     clean, dimensions, fact, load, normalize, profiling, reports, validation, views,
 )
 from starloom.schemas import (
-    DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT, NF_PRODUCT, NF_REVIEW, PROFILE_ATTRIBUTES,
-    RAW_PRODUCT, STAGED_PRODUCT, STAGED_REVIEW, STG_FACT_EXTRACT,
+    DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT, FACT_DROP_REASONS, NF_AUTHOR, NF_BRAND, NF_CATEGORY,
+    NF_LOOKUPS, NF_PRODUCT, NF_REVIEW, PROFILE_ATTRIBUTES, RAW_PRODUCT, RAW_REVIEW, STAGED_PRODUCT,
+    STAGED_REVIEW, STG_FACT_EXTRACT,
 )
 from starloom.session import cut_lineage, scratch_path
 from starloom.sources import csv_files, layers
@@ -166,9 +167,9 @@ def _layers(spark, folder) -> dict[str, DataFrame]:
     products = cut_lineage(
         clean.type_products(clean.distinct_products(mapped.raw_catalogue(spark, folder))))
     reviews = cut_lineage(clean.type_reviews(clean.distinct_reviews(mapped.raw_reviews(spark, folder))))
-    category = number_rows(normalize.categories(products), normalize.CATEGORY_LEVELS, "category_id")
+    category = number_rows(normalize.categories(products), "category_id")
     lookups = {
-        a: number_rows(normalize.attribute_values(reviews, a), [a], f"{a}_id")
+        a: number_rows(normalize.attribute_values(reviews, a), f"{a}_id")
         for a in PROFILE_ATTRIBUTES
     }
     nf_review = normalize.nf_reviews(reviews, lookups).withColumn("review_id", F.col("source_row_id"))
@@ -192,8 +193,13 @@ def _layer_counts(spark, folder):
 
 @query("layer_gaps")
 def _layer_gaps(spark, folder):
+    """Both entities; some rows are kept from staging on purpose."""
     at = _layers(spark, folder)
-    return validation.layer_gaps(at["raw.reviews"], at["nf.review"], at["staging.review"])
+    reviews = validation.layer_gaps(
+        at["raw.reviews"], at["nf.review"], at["staging.review"].where("source_row_id % 43 <> 0"))
+    products = validation.layer_gaps(
+        at["raw.product_info"], at["nf.product"], at["staging.product"].where("secondary_category <> 'S3'"))
+    return reviews.withColumn("entity", F.lit("review")).unionByName(products.withColumn("entity", F.lit("product")))
 
 
 @query("row_accounting")
@@ -207,9 +213,13 @@ def _row_accounting(spark, folder):
 @query("integrity_checks")
 def _integrity(spark, folder):
     at = _layers(spark, folder)
+    # Faults of every kind: members left out, reviews repeated, an attribute blanked.
     known = at["nf.product"].where(F.col("loves_count") < (LARGEST_KNOWN_SIZE + 1) * 1000)
+    review = at["nf.review"].unionByName(at["nf.review"].where("source_row_id % 41 = 0"))
+    staged = at["staging.review"].withColumn("skin_tone", F.when(F.col("source_row_id") % 37 != 0, F.col("skin_tone")))
     return validation.integrity_checks(
-        at["nf.review"], known, at["nf.author"], at["nf.brand"], at["nf.category"], at["staging.review"])
+        review, known, at["nf.author"].where("cast(author_id as long) % 7 <> 0"),
+        at["nf.brand"].where("brand_id <> 25"), at["nf.category"].where("secondary_category <> 'S3'"), staged)
 
 
 @query("cutoff_split")
@@ -268,20 +278,21 @@ def _dedup(spark, folder):
 def _csv_reviews(spark, folder):
     """Review text written as CSV files and read back, quotes and line breaks included."""
     files = scratch_path(spark, "csv-reviews")
-    raw = mapped.raw_reviews(spark, folder).where("source_file <> 'reviews_9.csv'")
+    raw = mapped.raw_reviews(spark, folder)
     columns = [c for c in raw.columns if c not in ("source_row_id", "source_file")]
-    csv_files.write_csv(raw.select(F.col("source_row_id").alias(""), *columns), files)
-    read = csv_files.read_reviews(spark, f"{files}/*.csv")
-    return clean.type_reviews(clean.trim_all(read)).drop("source_file")
+    # One folder per source file; the file names Spark gives are replaced by the folder's.
+    csv_files.write_csv(raw.select(F.col("source_row_id").alias(""), *columns, "source_file"), files, "source_file")
+    read = csv_files.read_reviews(spark, f"{files}/*/*.csv", with_path=True)
+    named = F.regexp_extract("source_path", r"source_file=([^/]*)/", 1)
+    return clean.type_reviews(clean.trim_all(read.withColumn("source_file", named).drop("source_path")))
 
 
 @query("csv_catalogue")
 def _csv_catalogue(spark, folder):
     """Catalogue text written as CSV and read back with only the price columns."""
     files = scratch_path(spark, "csv-catalogue")
-    csv_files.write_csv(mapped.raw_catalogue(spark, folder).coalesce(1), files)
-    path = csv_files.list_files(spark, f"{files}/*.csv")[0]
-    return csv_files.read_catalogue(spark, path, ["product_id", "price_usd", "sale_price_usd"])
+    csv_files.write_csv(mapped.raw_catalogue(spark, folder), files)
+    return csv_files.read_catalogue(spark, f"{files}/*.csv", ["product_id", "price_usd", "sale_price_usd"])
 
 
 # --- normalisation and dimensions ------------------------------------------------------------
@@ -325,7 +336,7 @@ def _product_dimension(spark, folder):
     """Product members whose brand is known; one brand is missing on purpose."""
     products = mapped.catalogue(spark, folder)
     known = dimensions.brand_rows(products).where("brand_id <> 25")
-    brand = number_rows(known, ["brand_id"], "brand_key")
+    brand = number_rows(known, "brand_key")
     rows = dimensions.product_rows(dimensions.resolve_products(products, brand))
     return rows.join(brand.select("brand_key", "brand_id"), "brand_key").drop("brand_key")
 
@@ -339,7 +350,7 @@ def _calendar(spark, folder):
 def _surrogate_keys(spark, folder):
     """Numbers given to all customers after 1,000 used ones: dense and without repeats."""
     rows = mapped.table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"))
-    numbered = number_rows(rows, ["customer_id"], "customer_key", start=1000)
+    numbered = number_rows(rows, "customer_key", start=1000)
     return numbered.agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("customer_key").alias("numbers"),
         F.min("customer_key").alias("first"), F.max("customer_key").alias("last"),
@@ -363,13 +374,11 @@ def _lookups_with_gaps(spark, folder) -> dict[str, DataFrame]:
     profiles = dimensions.profile_rows(mapped.reviews(spark, folder))
     days = dimensions.calendar(dimensions.date_bounds(mapped.star(spark, folder).fact))
     lookups = {
-        "product": number_rows(known.select("product_id"), ["product_id"], "product_key"),
+        "product": number_rows(known.select("product_id"), "product_key"),
         "customer": number_rows(
-            customers.select(F.col("c_custkey").cast("string").alias("customer_id")),
-            ["customer_id"], "customer_key"),
+            customers.select(F.col("c_custkey").cast("string").alias("customer_id")), "customer_key"),
         "reviewer_profile": number_rows(
-            profiles.where("skin_type <> 'P' or hair_color <> 'F'"), PROFILE_ATTRIBUTES,
-            "reviewer_profile_key"),
+            profiles.where("skin_type <> 'P' or hair_color <> 'F'"), "reviewer_profile_key"),
         "date": days.where(F.col("full_date") <= F.lit(LAST_KNOWN_DAY)).select("full_date", "date_key"),
     }
     return {name: cut_lineage(df) for name, df in lookups.items()}
@@ -477,33 +486,138 @@ def _batch_hand_over(spark, folder):
     )
 
 
+_RUN_COLUMNS = ["mode", "watermark", "watermark_after", "rows_extracted", "rows_transformed", "rows_dropped",
+                *[f"dropped_{r}" for r in FACT_DROP_REASONS], "rows_late", "rows_late_unusable",
+                "rows_inserted", "rows_already_present", "brand_inserted",
+                "product_inserted", "customer_inserted", "profile_inserted", "date_inserted"]
+
+
 @query("load_runs")
 def _load_runs(spark, folder):
-    """A warehouse loaded historical, incremental, full and staged: one report row per run."""
+    """A warehouse loaded historical, incremental, incremental, full and staged: a row per run.
+
+    Large products are unknown, so their reviews drop. Every ninth review arrives after the
+    second run: the ones before the watermark are late until the full run. Reviews of the last
+    days arrive for the staged run.
+    """
     root = scratch_path(spark, "warehouse")
-    layers.overwrite(mapped.catalogue(spark, folder), root, STAGED_PRODUCT)
-    layers.overwrite(mapped.reviews(spark, folder), root, STAGED_REVIEW)
-    runs = [load.run_load(spark, root, mode, mapped.CUTOFF)
-            for mode in (inc.HISTORICAL, inc.INCREMENTAL, inc.FULL)]
+    reviews = cut_lineage(mapped.reviews(spark, folder))
+    on_time = (F.col("source_row_id") % 9 != 0) & (F.col("submission_date") <= F.lit(LAST_KNOWN_DAY))
+    layers.overwrite(mapped.catalogue(spark, folder).where(
+        F.col("loves_count") < (LARGEST_KNOWN_SIZE + 1) * 1000), root, STAGED_PRODUCT)
+    layers.overwrite(reviews.where(on_time), root, STAGED_REVIEW)
+    runs = [load.run_load(spark, root, mode, mapped.CUTOFF) for mode in (inc.HISTORICAL, inc.INCREMENTAL)]
+    layers.overwrite(reviews.where(F.col("submission_date") <= F.lit(LAST_KNOWN_DAY)), root, STAGED_REVIEW)
+    runs += [load.run_load(spark, root, mode, mapped.CUTOFF) for mode in (inc.INCREMENTAL, inc.FULL)]
+    layers.overwrite(reviews, root, STAGED_REVIEW)
     runs.append(load.run_staged_load(spark, root, BATCH_ID, inc.INCREMENTAL))
-    wanted = ["mode", "watermark", "watermark_after", "rows_extracted", "rows_transformed",
-              "rows_dropped", "rows_inserted", "rows_already_present", "brand_inserted",
-              "product_inserted", "customer_inserted", "profile_inserted", "date_inserted"]
     found = None
     for place, run in enumerate(runs, start=1):
         # The texts of a run without a watermark stay null.
-        one = load.report_row(spark, {c: run[c] for c in wanted}).withColumn("run", F.lit(place))
+        one = load.report_row(spark, {c: run[c] for c in _RUN_COLUMNS}).withColumn("run", F.lit(place))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query("views_after_load")
+def _views_after_load(spark, folder):
+    """All eleven views, registered after a historical load and read after a full one."""
+    root = scratch_path(spark, "live-views")
+    layers.overwrite(mapped.catalogue(spark, folder), root, STAGED_PRODUCT)
+    layers.overwrite(mapped.reviews(spark, folder), root, STAGED_REVIEW)
+    load.run_load(spark, root, inc.HISTORICAL, mapped.CUTOFF)
+    views.register_views(spark, root, primary_category=mapped.PRIMARY_CATEGORY, min_reviews=mapped.MIN_REVIEWS)
+    load.run_load(spark, root, inc.FULL)
+    found = None
+    for name in views.VIEWS:
+        measure = "total_reviews" if name == "vw_kpi_summary" else "review_count"
+        one = spark.table(name).agg(F.count(F.lit(1)).alias("rows"), F.sum(measure).alias("reviews")) \
+            .withColumn("view_name", F.lit(name))
         found = one if found is None else found.unionByName(one)
     return found
 
 
+@query("ingest_counts")
+def _ingest_counts(spark, folder):
+    """Rows of the raw tables after a good, a refused, a repeated and an appending ingest."""
+    root = scratch_path(spark, "ingest")
+    products = cut_lineage(clean.type_products(clean.distinct_products(mapped.raw_catalogue(spark, folder))))
+    reviews = cut_lineage(clean.type_reviews(clean.distinct_reviews(mapped.raw_reviews(spark, folder))))
+    n_products, n_reviews = products.count(), reviews.count()
+    few = products.where("child_count = 1")
+
+    def stored(step):
+        found = {n: layers.read_table(spark, root, t) for n, t in (("products", RAW_PRODUCT), ("reviews", RAW_REVIEW))}
+        return found["products"].agg(F.count(F.lit(1)).alias("products")).select(
+            F.lit(step).alias("step"), "products",
+            found["reviews"].agg(F.count(F.lit(1))).scalar().alias("reviews"))
+
+    def kept(df):
+        return cut_lineage(df)
+
+    load.ingest(root, products, reviews, {"products": n_products, "reviews": n_reviews})
+    steps = [kept(stored("good"))]
+    try:
+        # The products would match; the reviews do not, so neither table changes.
+        load.ingest(root, few, reviews, {"products": few.count(), "reviews": n_reviews + 1})
+    except layers.RowCountError:
+        steps.append(kept(stored("refused")))
+    load.ingest(root, products, reviews, {"products": n_products, "reviews": n_reviews})
+    steps.append(kept(stored("repeated")))
+    load.ingest(root, few, reviews.where("rating = 5"), append=True)
+    steps.append(kept(stored("appended")))
+    found = steps[0]
+    for one in steps[1:]:
+        found = found.unionByName(one)
+    return found
+
+
+@query("stored_layer_counts")
+def _stored_layers(spark, folder):
+    """Files to raw, nf and staging on disk, twice: rows of every stored table after each landing."""
+    root, files = scratch_path(spark, "stored-layers"), scratch_path(spark, "landing")
+    raw = mapped.raw_reviews(spark, folder)
+    columns = [c for c in raw.columns if c not in ("source_row_id", "source_file")]
+    csv_files.write_csv(raw.select(F.col("source_row_id").alias(""), *columns), f"{files}/reviews")
+    csv_files.write_csv(mapped.raw_catalogue(spark, folder), f"{files}/catalogue")
+    found = None
+    for landing in (1, 2):
+        load.land_files(spark, root, f"{files}/catalogue/*.csv", f"{files}/reviews/*.csv")
+        for table in (RAW_PRODUCT, RAW_REVIEW, NF_BRAND, NF_CATEGORY, NF_PRODUCT, NF_AUTHOR, *NF_LOOKUPS.values(),
+                      NF_REVIEW, STAGED_PRODUCT, STAGED_REVIEW):
+            one = layers.read_table(spark, root, table).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(landing).alias("landing"), F.lit(f"{table.layer}.{table.name}").alias("table_name"), "rows")
+            one = cut_lineage(one)
+            found = one if found is None else found.unionByName(one)
+    return found
+
+
 # --- quality ---------------------------------------------------------------------------------
 
 
+def _with_faults(df: DataFrame, table, number) -> DataFrame:
+    """Every 29th row lacks a required value, every 31st has a bad one, by a row's number."""
+    kinds = {f.name: f.dataType for f in table.schema}
+    rows = df.withColumn("_number", number)
+    changed = {}
+    bad = mapped.BAD_VALUES[f"{table.layer}.{table.name}"]
+    for i, (c, value) in enumerate(bad.items()):
+        changed[c] = F.when((F.col("_number") + i) % 31 == 0, F.lit(value).cast(kinds[c])).otherwise(F.col(c))
+    for i, c in enumerate(table.required):
+        changed[c] = F.when((F.col("_number") + i) % 29 != 0, changed.get(c, F.col(c)))
+    return rows.withColumns(changed).drop("_number")
+
+
 def _gate_rows(spark, folder):
-    """Reviews with natural keys; the unresolved ones keep null keys and fail the gate."""
+    """Resolved reviews with faults: unknown keys stay null, counts and ratings are off, rows repeat."""
     resolved, _ = _resolved(spark, folder)
-    return resolved
+    row = F.col("source_row_id")
+    faults = {"rating": (11, 9), "total_feedback_count": (13, -1), "total_pos_feedback_count": (17, -1),
+              "total_neg_feedback_count": (19, -1)}
+    broken = resolved.withColumns({
+        c: F.when(row % n == 0, value).otherwise(F.col(c)).cast(resolved.schema[c].dataType)
+        for c, (n, value) in faults.items()})
+    return broken.unionByName(broken.where(row % 23 == 0))
 
 
 @query("quality_report")
@@ -513,24 +627,28 @@ def _quality(spark, folder):
 
 @query("product_quality_report")
 def _product_quality(spark, folder):
+    """Products with an unknown brand, negative prices and counts, and repeated rows."""
     products = mapped.catalogue(spark, folder)
-    brand = number_rows(dimensions.brand_rows(products), ["brand_id"], "brand_key")
-    resolved = dimensions.resolve_products(products, brand)
+    number = F.col("product_id").cast("long")
+    brand = number_rows(dimensions.brand_rows(products).where("brand_id <> 25"), "brand_key")
+    resolved = dimensions.resolve_products(products, brand).withColumns({
+        "price_usd": F.when(number % 10 == 0, -F.col("price_usd")).otherwise(F.col("price_usd")),
+        "loves_count": F.when(number % 12 == 0, -F.col("loves_count")).otherwise(F.col("loves_count"))})
+    resolved = resolved.unionByName(resolved.where(number % 14 == 0))
     return quality.quality_report(resolved, quality.PRODUCT_CHECKS).drop("n")
 
 
 @query("constraint_report")
 def _constraints(spark, folder):
-    """NOT NULL and CHECK of the normalised reviews and products, and of the calendar."""
+    """NOT NULL and CHECK of reviews, products and the calendar; every rule is broken somewhere."""
     at = _layers(spark, folder)
     days = dimensions.calendar(dimensions.date_bounds(at["staging.review"]))
-    # Prices lowered by five dollars and reviews without any vote break rules.
-    product = at["nf.product"].withColumn("price_usd", F.col("price_usd") - 5)
-    review = at["nf.review"].withColumn("helpfulness", F.coalesce("helpfulness", F.lit(0)))
     found = None
-    for name, df, table in (("nf.review", review, NF_REVIEW), ("nf.product", product, NF_PRODUCT),
-                            ("dw.dim_date", days, DIM_DATE)):
-        one = quality.constraint_report(df, table).withColumn("table_name", F.lit(name))
+    for name, df, table, number in (
+            ("nf.review", at["nf.review"], NF_REVIEW, F.col("source_row_id")),
+            ("nf.product", at["nf.product"], NF_PRODUCT, F.col("product_id").cast("long")),
+            ("dw.dim_date", days, DIM_DATE, F.col("date_key").cast("long"))):
+        one = quality.constraint_report(_with_faults(df, table, number), table).withColumn("table_name", F.lit(name))
         found = one if found is None else found.unionByName(one)
     return found
 
@@ -547,6 +665,8 @@ def _unique(spark, folder):
 @query("reference_report")
 def _references(spark, folder):
     star = _star_with_gaps(spark, folder)
+    known = mapped.table(spark, folder, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("customer_key"))
+    star = star._replace(customer=known, brand=star.brand.where("brand_id <> 25"))
     targets = {"dim_product": star.product, "dim_customer": star.customer,
                "dim_reviewer_profile": star.profile, "dim_date": star.date, "dim_brand": star.brand}
     facts = quality.reference_report(star.fact, FACT, targets)
@@ -593,7 +713,7 @@ _profile("profile_hierarchy", profiling.category_levels, catalogue=True, reviews
 _profile("profile_shared_secondaries", profiling.shared_secondaries, catalogue=True, reviews=False)
 _profile("profile_helpfulness", profiling.helpfulness_rules)
 _profile("profile_repeated_columns", lambda p, r: profiling.repeated_columns(
-    p.dropDuplicates(["product_id"]), r), catalogue=True)
+    clean.distinct_products(p), r), catalogue=True)
 _profile("profile_tags", profiling.tag_summary, catalogue=True, reviews=False)
 _profile("profile_top_tags", profiling.top_tags, catalogue=True, reviews=False)
 _profile("profile_cutoff", lambda r: profiling.cutoff_summary(r, mapped.CUTOFF))

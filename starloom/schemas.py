@@ -65,6 +65,11 @@ class Table:
     checks: dict[str, str] = field(default_factory=dict, hash=False)
     month_of: str | None = None
 
+    @staticmethod
+    def by_name(layer: str, name: str) -> Table:
+        """A declared table of a layer."""
+        return next(t for t in globals().values() if isinstance(t, Table) and (t.layer, t.name) == (layer, name))
+
     def _parsed(self):
         for item in self.columns.split(","):
             name, kind = item.split()
@@ -243,9 +248,5 @@ STG_FACT_TRANSFORMED = _batch_table("stg_fact_transformed", FACT, ("review_key",
 
 BATCH_TABLES = [STG_BRAND, STG_PRODUCT, STG_CUSTOMER, STG_PROFILE, STG_FACT_EXTRACT,
                 STG_FACT_TRANSFORMED]
-NF_TABLES = [NF_BRAND, NF_CATEGORY, NF_PRODUCT, NF_AUTHOR, *NF_LOOKUPS.values(), NF_REVIEW]
-DW_TABLES = [DIM_DATE, DIM_BRAND, DIM_PRODUCT, DIM_CUSTOMER, DIM_PROFILE, FACT]
-LAYER_TABLES = [RAW_PRODUCT, RAW_REVIEW, *NF_TABLES, STAGED_PRODUCT, STAGED_REVIEW]
-
 RAW_PRODUCT_COLUMNS = RAW_PRODUCT.names
 RAW_REVIEW_COLUMNS = [c for c in RAW_REVIEW.names if c not in ("source_file", "review_length")]

@@ -16,11 +16,20 @@ from starloom.functions.columns import date_key, price_band
 from starloom.plans.dimensions import calendar, date_bounds
 from starloom.plans.star import Star
 from starloom.schemas import PROFILE_ATTRIBUTES, UNKNOWN
+from starloom.session import cut_lineage
 
 CUTOFF = date(2001, 1, 1)
 PRIMARY_CATEGORY = "PROMO"
 MIN_REVIEWS = 20
 
+# Values that break a check, by column; each is put into every 31st row, shifted per column.
+BAD_VALUES = {
+    "nf.review": {"rating": 9, "total_feedback_count": -3, "total_pos_feedback_count": -1,
+                  "total_neg_feedback_count": -2, "review_length": -5, "helpfulness": 7},
+    "nf.product": {"price_usd": 0, "loves_count": -1, "rating": 9, "reviews": -1, "child_count": -1},
+    "dw.dim_date": {"quarter": 9, "month": 13, "day": 40, "day_of_week": 0},
+}
+
 _ROW_ID = """((l_orderkey * 8 + l_linenumber) * 100000 + l_suppkey) * 10000
              + datediff(l_shipdate, date'1990-01-01')"""
 
@@ -29,13 +38,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _spread(lines: DataFrame) -> DataFrame:
-    """Rows of fewer files than cores, spread over the cores before heavy row work."""
-    cores = lines.sparkSession.sparkContext.defaultParallelism
-    few = len(lines.inputFiles()) < cores
-    return lines.repartition(cores, "l_orderkey") if few else lines
-
-
 def _measures() -> dict:
     total = F.expr("cast(round(l_discount * 100) as int)")
     liked = F.floor(total / 2).cast("int")
@@ -55,11 +57,8 @@ def _measures() -> dict:
     }
 
 
-def _lines(spark: SparkSession, folder: str, reviewers: bool = False, profiles: bool = False,
-           spread: bool = False) -> DataFrame:
+def _lines(spark: SparkSession, folder: str, reviewers: bool = False, profiles: bool = False) -> DataFrame:
     lines = table(spark, folder, "lineitem")
-    if spread:
-        lines = _spread(lines)
     if not (reviewers or profiles):
         return lines
     orders = table(spark, folder, "orders")
@@ -111,7 +110,7 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as staged review rows."""
     parts = {**_measures(), "author_id": F.col("o_custkey").cast("string"), **_named_attributes()}
-    lines = _lines(spark, folder, profiles=True, spread=True)
+    lines = _lines(spark, folder, profiles=True)
     return lines.select(*_columns(parts)).withColumn("review_id", F.col("source_row_id"))
 
 
@@ -137,7 +136,8 @@ def star(
     if profiles:
         profile_key = F.xxhash64(*PROFILE_ATTRIBUTES)
         named = lines.select(*_columns(_named_attributes())).distinct()
-        profile = named.withColumn("reviewer_profile_key", profile_key)
+        # Stored, so that its small size is known to every join with the facts.
+        profile = cut_lineage(named.withColumn("reviewer_profile_key", profile_key))
         lines = lines.withColumns(_named_attributes())
         parts["reviewer_profile_key"] = profile_key
         customer = table(spark, folder, "customer").select(
@@ -228,7 +228,7 @@ def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
         "source_file": F.concat(F.lit("reviews_"), F.col("l_suppkey") % 5, F.lit(".csv")),
     }
     del parts["submission_date"], parts["review_length"]
-    rows = _lines(spark, folder, profiles=True, spread=True).select(*_columns(parts))
+    rows = _lines(spark, folder, profiles=True).select(*_columns(parts))
     again = rows.where(F.col("source_row_id").cast("long") % 10 == 0).withColumns({
         "source_row_id": (F.lit(10**18) + F.col("source_row_id").cast("long")).cast("string"),
         "source_file": F.lit("reviews_9.csv"),

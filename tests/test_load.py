@@ -4,11 +4,12 @@ import pytest
 from conftest import ATTRIBUTES, frame, product, review, rows
 from pyspark.sql import functions as F
 
-from starloom.operators.quality import DataQualityError
-from starloom.plans import clean, load, views
+from starloom.operators.quality import ConstraintError, DataQualityError
+from starloom.plans import clean, load, normalize, views
 from starloom.plans.star import read_star
 from starloom.schemas import (
-    BATCH_TABLES, DIM_PRODUCT, FACT, RAW_REVIEW, STAGED_PRODUCT, STAGED_REVIEW, STG_BRAND,
+    BATCH_TABLES, DIM_PRODUCT, FACT, NF_REVIEW, RAW_PRODUCT, RAW_REVIEW, STAGED_PRODUCT, STAGED_REVIEW,
+    STG_BRAND,
 )
 from starloom.session import scratch_path
 from starloom.sources import csv_files, layers
@@ -60,7 +61,7 @@ def test_late_review_is_only_recovered_by_a_full_load(spark):
     late = [*REVIEWS, review(6, "P1", "A1", date(2022, 6, 1))]
     layers.overwrite(frame(spark, STAGED_REVIEW, late), root, STAGED_REVIEW)
     run = load.run_load(spark, root, inc.INCREMENTAL)
-    assert (run["rows_inserted"], run["rows_late"]) == (0, 1)
+    assert (run["rows_inserted"], run["rows_late"], run["rows_late_unusable"]) == (0, 1, 0)
     assert inc.report_delta(load.report_row(spark, {"n": 5}), load.report_row(spark, {"n": 8}), "n").first().delta == 3
     staged, stored = layers.read_table(spark, root, STAGED_REVIEW), layers.read_table(spark, root, FACT)
     assert inc.backlog(staged, stored).first().status == "unaccounted"
@@ -197,3 +198,76 @@ def test_raw_rows_can_be_appended(spark, source_files):
     expected = {"products": 2, "reviews": 2}
     assert load.ingest(root, products, reviews, expected) == expected
     assert load.ingest(root, products.limit(0), reviews, append=True) == {"products": 2, "reviews": 4}
+
+
+def test_dropped_reviews_are_not_late(spark):
+    root = warehouse(spark, [*REVIEWS, review(8, "GHOST", "A1", date(2021, 1, 1)), review(9, "GHOST", "A2", date(2021, 2, 1))])
+    first = load.run_load(spark, root, inc.FULL)
+    assert (first["rows_dropped"], first["dropped_unresolved_product"]) == (2, 2)
+    second = load.run_load(spark, root, inc.INCREMENTAL)
+    assert (second["rows_late"], second["rows_late_unusable"]) == (0, 2)
+
+
+def test_raw_tables_change_together_or_not_at_all(spark, source_files):
+    root = scratch_path(spark, "both")
+    products = clean.clean_products(csv_files.read_catalogue(spark, str(source_files / "product_info.csv")))
+    reviews = clean.clean_reviews(csv_files.read_reviews(spark, str(source_files / "reviews_1.csv")))
+    load.ingest(root, products, reviews)
+    with pytest.raises(layers.RowCountError):
+        load.ingest(root, products.limit(1), reviews, {"products": 1, "reviews": 3})
+    assert layers.read_table(spark, root, RAW_PRODUCT).count() == 2
+    assert layers.read_table(spark, root, RAW_REVIEW).count() == 2
+
+
+def test_a_commit_that_fails_keeps_the_table(spark, monkeypatch):
+    root = warehouse(spark)
+
+    def refuse(*_):
+        raise OSError("store is full")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(layers, "_commit", refuse)
+        with pytest.raises(OSError):
+            layers.overwrite(frame(spark, STAGED_REVIEW, REVIEWS[:1]), root, STAGED_REVIEW)
+    assert layers.read_table(spark, root, STAGED_REVIEW).count() == 5
+
+
+def test_an_unfinished_commit_file_is_passed_over(spark):
+    root = warehouse(spark)
+    folder = f"{root}/staging/{layers.COMMITS}"
+    files, at = layers._files(spark, f"{folder}/{99:012d}.json")
+    files.create(at, False).close()
+    assert layers.read_table(spark, root, STAGED_REVIEW).count() == 5
+    layers.overwrite(frame(spark, STAGED_REVIEW, REVIEWS[:2]), root, STAGED_REVIEW)
+    assert layers.read_table(spark, root, STAGED_REVIEW).count() == 2
+    assert layers.read_table(spark, root, STAGED_PRODUCT).count() == 2
+
+
+def test_registered_views_follow_a_load_and_run_nothing(spark):
+    root = warehouse(spark)
+    load.run_load(spark, root, inc.HISTORICAL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("register", "views")
+    views.register_views(spark, root, min_reviews=1)
+    assert list(tracker.getJobIdsForGroup("register")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.sql("select total_reviews from vw_kpi_summary").first()[0] == 3
+    load.run_load(spark, root, inc.FULL)
+    assert spark.sql("select total_reviews from vw_kpi_summary").first()[0] == 5
+    assert spark.sql("select sum(review_count) from vw_hype_vs_reality").first()[0] == 5
+    assert spark.sql("select sum(review_count) from vw_rating_by_brand").first()[0] == 5
+
+
+def test_an_orphan_review_and_a_repeated_brand_name_are_refused(spark, source_files):
+    root = scratch_path(spark, "orphans")
+    products = clean.clean_products(csv_files.read_catalogue(spark, str(source_files / "product_info.csv")))
+    reviews = clean.clean_reviews(csv_files.read_reviews(spark, str(source_files / "reviews_*.csv")))
+    load.ingest(root, products.where("product_id = 'P1'"), reviews)
+    with pytest.raises(ConstraintError, match="references_product_product_id=1"):
+        normalize.rebuild_staging(spark, root)
+    assert layers.read_table(spark, root, NF_REVIEW).count() == 0
+    other = scratch_path(spark, "brands")
+    renamed = products.withColumn("brand_id", F.when(F.col("product_id") == "P1", 7).otherwise(8))
+    load.ingest(other, renamed, reviews)
+    with pytest.raises(ConstraintError, match="unique_brand_name=1"):
+        normalize.rebuild_staging(spark, other)

@@ -1,11 +1,12 @@
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_first
-from starloom.operators.joins import lookup_join, without_matches
+from starloom.operators.joins import hot_keys, lookup_join, without_matches
 from starloom.operators.keys import with_percent_rank
 
 
@@ -27,13 +28,15 @@ def test_salted_join_equals_plain_join(spark):
     assert rows(salted, "v", "k", "x") == rows(broadcast, "v", "k", "x")
 
 
-def test_salted_join_spreads_the_hot_key(spark):
-    from starloom.operators.joins import hot_keys
-
-    df = skewed(spark)
-    hot = hot_keys(df, ["k"])
-    expected = spark.range(1).select(F.xxhash64(F.lit(1).cast("long")).alias("h")).first().h
-    assert expected in hot and len(hot) <= 1000
+@pytest.mark.parametrize("share", [3, 1500])
+def test_hot_keys_are_cut_into_shares(spark, share):
+    """Also a key that holds less than a thousandth of the rows, once partitions are many."""
+    df = spark.range(60000).select(F.when(F.col("id") % share == 0, -1).otherwise(F.col("id")).alias("k"))
+    partitions = 40 if share == 3 else 10000
+    found = {r.h: r.shares for r in hot_keys(df, ["k"], partitions).collect()}
+    assert list(found) == [spark.range(1).select(F.xxhash64(F.lit(-1).cast("long")).alias("h")).first().h]
+    average = 60000 / partitions
+    assert 60000 / share / found[next(iter(found))] <= average
 
 
 def test_salted_null_safe_join(spark):
@@ -74,3 +77,19 @@ def test_without_matches_treats_nulls_as_equal(spark):
     df = spark.createDataFrame([("a", None), ("a", "x"), ("b", None)], "p string, s string")
     known = spark.createDataFrame([("a", None)], "p string, s string")
     assert set(map(tuple, without_matches(df, known, ["p", "s"]).collect())) == {("a", "x"), ("b", None)}
+
+
+def test_one_row_stays_of_rows_that_tie(spark):
+    rows_in = [("a", 1, "x"), ("a", 1, "y"), ("a", None, "n"), ("a", None, "n"), ("b", None, "p"), ("b", None, "p"),
+               (None, 2, "q"), (None, 2, "q"), (None, 3, "r"), ("c", 5, "s")]
+    df = spark.createDataFrame(rows_in, "k string, o int, v string")
+    kept = keep_first(df, ["k"], ["o"])
+    found = {r.k: (r.o, r.v) for r in kept.collect()}
+    assert kept.count() == 4 and found["a"] == (None, "n") and found["b"] == (None, "p")
+    assert found[None] == (2, "q") and found["c"] == (5, "s")
+
+
+def test_percent_rank_puts_nulls_last(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 7), (4, 9), (5, None)], "id int, v int")
+    naive = df.withColumn("p", F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_last())))
+    assert rows(with_percent_rank(df, "v", "p"), "id", "p") == rows(naive, "id", "p")

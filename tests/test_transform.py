@@ -4,7 +4,7 @@ import pytest
 from conftest import review, product, rows
 
 from starloom.operators.keys import number_rows
-from starloom.operators.reconcile import ReconciliationError, reconcile_load, reconcile_transform
+from starloom.operators.reconcile import ReconciliationError, count_present, account_for_rows
 from starloom.plans import dimensions, fact
 from starloom.schemas import FACT_DROP_REASONS, FACT_KEYS
 from starloom.sources.csv_files import NULL_TOKENS
@@ -55,7 +55,7 @@ def test_repeated_lookup_key_breaks_the_accounting(two_reviews, lookups):
     twice = {**lookups, "product": lookups["product"].union(lookups["product"])}
     _, kept, drops = outcome(two_reviews, twice)
     with pytest.raises(ReconciliationError):
-        reconcile_transform(2, kept, drops, "fact")
+        account_for_rows(2, kept, drops, "fact")
 
 
 def test_unknown_brand_is_dropped_and_bands_are_left_closed(spark, products):
@@ -71,15 +71,15 @@ def test_unknown_brand_is_dropped_and_bands_are_left_closed(spark, products):
 
 
 def test_identities():
-    assert reconcile_transform(100, 95, {"unresolved_product": 5}, "t") == 5
-    with pytest.raises(ReconciliationError, match="UNEXPLAINED=5"):
-        reconcile_transform(100, 90, {"unresolved_product": 5}, "t")
+    assert account_for_rows(100, 95, {"unresolved_product": 5}, "t") == 5
+    with pytest.raises(ReconciliationError, match="5 have none"):
+        account_for_rows(100, 90, {"unresolved_product": 5}, "t")
     with pytest.raises(ReconciliationError):
-        reconcile_transform(10, 20, {"unresolved_product": 0}, "t")
-    assert reconcile_load(100, 40, "t") == 60
-    assert reconcile_load(1000, 0, "t") == 1000
+        account_for_rows(10, 20, {"unresolved_product": 0}, "t")
+    assert count_present(100, 40, "t") == 60
+    assert count_present(1000, 0, "t") == 1000
     with pytest.raises(ReconciliationError):
-        reconcile_load(10, 50, "t")
+        count_present(10, 50, "t")
 
 
 def test_calendar_fields_over_a_year_boundary(spark):
@@ -91,13 +91,14 @@ def test_calendar_fields_over_a_year_boundary(spark):
 
 
 def test_numbering_is_dense_and_repeatable(spark):
-    df = spark.range(5000).selectExpr("cast(id as string) as k")
-    first = {r.k: r.n for r in number_rows(df, ["k"], "n", start=7).collect()}
-    again = {r.k: r.n for r in number_rows(df.repartition(13), ["k"], "n", start=7).collect()}
-    many = {r.n for r in number_rows(df, ["k"], "n", start=7, rows=3_000_000_000).collect()}
-    assert many == set(first.values())
+    df = spark.range(5000).repartition(13).selectExpr("cast(id as string) as k")
+    numbered = number_rows(df, "n", start=7)
+    first = {r.k: r.n for r in numbered.collect()}
     assert sorted(first.values()) == list(range(8, 5008))
-    assert first == again
+    assert first == {r.k: r.n for r in numbered.repartition(3).collect()}
+    assert number_rows(df.limit(0), "n").count() == 0
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" not in plan
 
 
 def test_null_tokens_are_listed_once():
