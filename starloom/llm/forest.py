@@ -4,9 +4,9 @@
    tree's label is a prefix of its minima. Labels start at ``DEEPEST`` minima and are shortened
    until a pair at the threshold meets in some tree with the target probability
    (``prefix_length``).
-2. In each bucket of equal labels the class with the least name leads. Members whose sketches
-   (one bit of each minimum) agree enough with the leader's hang on it; those that it does not stand for form
-   the bucket's next round, until nothing is left. Joins with one leader a bucket replace pairs.
+2. In each bucket of equal labels all sketches (one bit of each minimum) are compared in numpy,
+   block against block where a bucket is large. A task returns one root per class that has a
+   likely partner, not pairs; components over all trees are the candidate clusters.
 3. The clusters that result are only candidates. Every pair of texts in a cluster is compared
    exactly, block against block, in tasks of bounded size that return a count of links and one
    root per text instead of pairs. Components of those roots are the classes.
@@ -28,10 +28,10 @@ THRESHOLD = 0.8
 TREES = 32
 DEEPEST = 8
 RECALL = 0.9999
-# Agreement with a leader: a member this near is stood for by it; one this near is linked.
-# By the triangle inequality of Jaccard distance a text within 0.2 of a member that is
-# within 0.25 of its leader is within 0.45 of that leader; the rest allows for the sketch.
-STANDS, HANGS = 0.75, 0.4
+# Sketches that agree less cannot belong to a pair at the threshold: its estimate has a
+# standard deviation below 0.04, so this is five of them away.
+LIKELY = 0.6
+BUCKET_BLOCK = 4096
 BLOCK = 256
 
 
@@ -99,40 +99,61 @@ def _lists(matrix: np.ndarray) -> pa.Array:
                                     pa.array(matrix.reshape(-1)))
 
 
-def _likeness(a: str, b: str):
-    """Jaccard estimate from the agreeing bits of two sketches."""
-    n = TREES * DEEPEST
-    differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(n // 64)), F.lit(0))
-    return 1 - 2 * differ / n
+def _roots(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """The least position that each of n positions is connected to by the links given."""
+    root = np.arange(n)
+    while len(left):
+        least = root.copy()
+        np.minimum.at(least, left, root[right])
+        np.minimum.at(least, right, root[left])
+        least = least[least]
+        if (least == root).all():
+            break
+        root = least
+    return root
+
+
+def likely_roots(sketches: np.ndarray, in_left: np.ndarray, in_right: np.ndarray, threshold: float) -> np.ndarray:
+    """Root of each sketch over the pairs of the two blocks that agree enough."""
+    most_apart = int((1 - threshold) / 2 * 64 * sketches.shape[1])
+    a, b = np.flatnonzero(in_left), np.flatnonzero(in_right)
+    left, right = [], []
+    for start in range(0, len(a), 256):
+        rows = a[start:start + 256]
+        apart = np.bitwise_count(sketches[rows, None, :] ^ sketches[None, b, :]).sum(2, dtype=np.int32)
+        x, y = np.nonzero((apart <= most_apart) & (rows[:, None] != b[None, :]))
+        left.append(rows[x])
+        right.append(b[y])
+        if sum(map(len, left)) > 1 << 20:
+            root = _roots(np.concatenate(left), np.concatenate(right), len(sketches))
+            left, right = [np.arange(len(sketches))], [root]
+    return _roots(np.concatenate(left), np.concatenate(right), len(sketches)) if left else np.arange(len(sketches))
 
 
 def _candidate_links(classes: DataFrame) -> DataFrame:
-    """(name, leader) links between classes whose sketches agree with a leader of their bucket."""
-    sketches = classes.select("name", "sketch")
+    """(name, root) links between classes whose sketches agree in a common bucket."""
     members = classes.select("name", F.explode("labels").alias("label"))
-    shared = members.groupBy("label").agg(F.count("*").alias("n"), F.min("name").alias("leader")).where(F.col("n") > 1)
-    members = stored(members.join(shared, "label").select("label", "name", "leader"))
-    open_ones, found, known = members, [], None
-    while True:
-        pairs = open_ones.where(F.col("name") != F.col("leader")).select("name", "leader").distinct()
-        judged = stored(
-            pairs.join(sketches.withColumnRenamed("sketch", "a"), "name")
-            .join(sketches.select(F.col("name").alias("leader"), F.col("sketch").alias("b")), "leader")
-            .select("name", "leader", _likeness("a", "b").alias("likeness")).where(F.col("likeness") >= HANGS))
-        found.append(judged.select("name", "leader"))
-        near = judged.where(F.col("likeness") >= STANDS).select("name", "leader")
-        waiting = open_ones if known is None else open_ones.join(known, ["label", "name"])
-        left = stored(waiting.where(F.col("name") != F.col("leader"))
-                      .join(near, ["name", "leader"], "left_anti").select("label", "name"))
-        leaders = left.groupBy("label").agg(F.min("name").alias("leader"))
-        if left.isEmpty():
-            break
-        known = left
-        open_ones = stored(members.select("label", "name").join(leaders, "label"))
-    links = found[0]
-    for more in found[1:]:
-        links = links.unionByName(more)
-    return links
+    shared = stored(members.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") > 1).select(
+        "label", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks")))
+    found = members.join(shared, "label").join(classes.select("name", "sketch"), "name")
+    found = found.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")).withColumn(
+        "x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = found.select("label", F.least("block", "x").alias("i"), F.greatest("block", "x").alias("j"),
+                         "name", "block", "sketch")
+    tasks = tasks.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
+
+    def work(batches):
+        for table in groups(batches, ["label", "i", "j"]):
+            block = table.column("block").to_numpy()
+            sketches = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(block), -1).view(np.uint64)
+            i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+            root = likely_roots(sketches, block == i, block == j, LIKELY)
+            at = np.flatnonzero(root != np.arange(len(root)))
+            if len(at):
+                name = table.column("name").combine_chunks()
+                yield pa.RecordBatch.from_arrays([name.take(pa.array(at)), name.take(pa.array(root[at]))], ["name", "root"])
+
+    return in_tasks(tasks, work, "name string, root string")
 
 
 def exact_links(sets: list[np.ndarray], copies: np.ndarray, left: np.ndarray, right: np.ndarray,
@@ -169,14 +190,7 @@ def exact_links(sets: list[np.ndarray], copies: np.ndarray, left: np.ndarray, ri
     allowed[np.ix_(left, right)] = True
     linked &= allowed | allowed.T
     np.fill_diagonal(linked, False)
-    root = np.arange(n)
-    while True:
-        least = np.where(linked, root[None, :], n).min(axis=1, initial=n)
-        new_root = np.minimum(root, least)
-        new_root = new_root[new_root]
-        if (new_root == root).all():
-            break
-        root = new_root
+    root = _roots(*np.nonzero(linked), n)
     return linked @ copies, root
 
 
@@ -208,7 +222,7 @@ def _classes(rows: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     classes = stored(signed.where("name IS NOT NULL").groupBy("name").agg(
         F.min("key").alias("least"), F.count("*").alias("copies"),
         F.first("labels").alias("labels"), F.first("sketch").alias("sketch")))
-    clusters = components(_candidate_links(classes), "name", "leader")
+    clusters = components(_candidate_links(classes), "name", "root")
     clusters = stored(clusters.withColumnRenamed("node", "name").withColumnRenamed("component", "cluster"))
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("members")) \
         .select("cluster", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
