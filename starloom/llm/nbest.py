@@ -33,7 +33,7 @@ from starloom.llm.common import as_batch, id_of, in_tasks, pieces_of, text_rows
 MARK = "▁"
 _LITERAL = "\ud800"  # stands for a literal mark; cannot occur in a valid text
 UNKNOWN_LOSS = 10.0
-MOST_UNITS = 400_000
+MOST_UNITS = 700_000
 N_BEST = 4
 _NO_PREFIX = ()
 
@@ -152,37 +152,44 @@ class Pieces:
 
     def _solve(self, unit: str) -> int:
         """Best score of a unit, and the loss of its second best: the best through an unused edge."""
-        n, table = len(unit), self.table
-        ahead, by = [0.0] + [-np.inf] * n, [None] * (n + 1)
+        n, get = len(unit), self.table.get
+        ahead, by = [0.0] + [-np.inf] * n, [-1] * (n + 1)
         edges = []
         for i in range(n):
             base = ahead[i]
             for j in range(i + 1, n + 1):
-                found = table.get(unit[i:j], _NO_PREFIX)
+                found = get(unit[i:j], _NO_PREFIX)
                 if not found:
                     if j > i + 1:
                         if found is None:
                             continue
                         break
-                    edge = (i, j, self.unknown, self._spelled(unit[i]))
+                    score, ids = self.unknown, self._spelled(unit[i])
                 else:
-                    edge = (i, j, *found)
-                edges.append(edge)
-                if base + edge[2] > ahead[j]:
-                    ahead[j] = base + edge[2]
-                    by[j] = edge
+                    score, ids = found
+                value = base + score
+                if value > ahead[j]:
+                    ahead[j] = value
+                    by[j] = len(edges)
+                edges.append((i, j, score, ids))
                 if found == _NO_PREFIX:
                     break
-        back = [-np.inf] * n + [0.0]
-        for i, j, score, _ in reversed(edges):
-            if back[j] + score > back[i]:
-                back[i] = back[j] + score
         at, ids, used = n, [], set()
         while at:
-            ids.append(by[at][3])
-            used.add(by[at][:2])
-            at = by[at][0]
-        second = max((ahead[e[0]] + e[2] + back[e[1]] for e in edges if e[:2] not in used), default=-np.inf)
+            used.add(by[at])
+            edge = edges[by[at]]
+            ids.append(edge[3])
+            at = edge[0]
+        # Edges come by their start, so a way back from an edge's end is known when it is reached.
+        back, second = [-np.inf] * n + [0.0], -np.inf
+        for k in range(len(edges) - 1, -1, -1):
+            i, j, score, _ = edges[k]
+            value = score + back[j]
+            if value > back[i]:
+                back[i] = value
+            value += ahead[i]
+            if value > second and k not in used:
+                second = value
         return self._add(unit, ahead[n], ahead[n] - second, b"".join(reversed(ids)))
 
     def _spelled(self, char: str) -> bytes:
@@ -296,7 +303,7 @@ def decode_ids(rows: DataFrame, model_path: str, ids_col: str = "ids") -> DataFr
 _REPORT = pa.schema([
     ("key", pa.int64()), ("n_chars", pa.int64()), ("n_found", pa.int64()), ("n_pieces", pa.int64()),
     ("best_score", pa.float64()), ("last_score", pa.float64()), ("ids_crc32", pa.int64()),
-    ("all_crc32", pa.int64()), ("n_round_trips", pa.int64())])
+    ("all_crc32", pa.int64()), ("round_trip", pa.bool_())])
 
 
 def report_n_best(docs: DataFrame, model_path: str, n: int = N_BEST, id_col: str = "doc_id",
@@ -305,7 +312,7 @@ def report_n_best(docs: DataFrame, model_path: str, n: int = N_BEST, id_col: str
 
     doc_id, n_chars, n_found, n_pieces (of the best), best_score, last_score, ids_crc32 (of the
     best), all_crc32 (of all, best first; unsigned, ids as little-endian 32-bit numbers) and
-    n_round_trips: how many of them decode to the text.
+    round_trip: whether the best and the last of them decode to the text.
     """
     def work(batches):
         pieces = pieces_of_model(model_path)
@@ -320,10 +327,10 @@ def report_n_best(docs: DataFrame, model_path: str, n: int = N_BEST, id_col: str
                     for w in wide:
                         every = zlib.crc32(w, every)
                     rows.append((key, len(text), len(found), len(ids[0]), found[0][0], found[-1][0], zlib.crc32(wide[0]),
-                                 every, sum(pieces.decode(i.tolist()) == text for i in ids)))
+                                 every, all(pieces.decode(i.tolist()) == text for i in (ids[0], ids[-1])[:len(ids)])))
                 yield as_batch(_REPORT, list(zip(*rows)))
 
     out = in_tasks(text_rows(docs, id_col, text_col), work,
                    "key long, n_chars long, n_found long, n_pieces long, best_score double, last_score double, "
-                   "ids_crc32 long, all_crc32 long, n_round_trips long")
+                   "ids_crc32 long, all_crc32 long, round_trip boolean")
     return out.withColumn("doc_id", id_of(F.col("key"))).select("doc_id", *[f.name for f in _REPORT][1:])

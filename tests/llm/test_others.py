@@ -253,7 +253,7 @@ def test_n_best_report(spark):
     assert len(found) == len(texts)
     pieces = nbest.Pieces(MODEL)
     for r in found:
-        assert r.n_chars == len(texts[r.doc_id]) and r.n_round_trips == r.n_found
+        assert r.n_chars == len(texts[r.doc_id]) and r.round_trip and r.n_found == min(4, r.n_found)
         first = np.frombuffer(pieces.n_best(nbest.MARK + texts[r.doc_id][:300].replace(" ", nbest.MARK), 1)[0][1], "<u2")
         if len(texts[r.doc_id]) <= 300:
             assert r.ids_crc32 == zlib.crc32(first.astype("<u4").tobytes())
