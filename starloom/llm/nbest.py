@@ -116,10 +116,11 @@ class Pieces:
         for i, here in enumerate(edges):
             for j, score, ids in here:
                 into[j].append((i, score, ids))
-        heap = [(-ahead[-1], 0, len(unit), 0.0, ())]
+        # Of equal values the one nearest to the start goes first, so ties do not fan out.
+        heap = [(-ahead[-1], len(unit), 0, 0.0, ())]
         out, count = [], 0
         while heap and len(out) < n:
-            _, _, at, behind, path = heapq.heappop(heap)
+            _, at, _, behind, path = heapq.heappop(heap)
             if at == 0:
                 ids = []
                 while path:
@@ -130,7 +131,7 @@ class Pieces:
             for i, score, ids in into[at]:
                 count += 1
                 total = behind + score
-                heapq.heappush(heap, (-(ahead[i] + total), count, i, total, (ids, path)))
+                heapq.heappush(heap, (-(ahead[i] + total), i, -count, total, (ids, path)))
         return out
 
     def _learn(self, unit: str) -> int:
