@@ -241,7 +241,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Mode
     # At most ``most`` narrow rows are sent to every task.
     rows = in_tasks(docs.join(F.broadcast(sample), "key"), work, "key long, quality int, features array<double>").collect()
     rows.sort()
-    features = np.array([r["features"] for r in rows]).reshape(len(rows), -1)
+    features = np.array([r["features"] for r in rows], np.float64).reshape(len(rows), 3 * DIMS + 1)
     return fit(features, np.array([r["quality"] for r in rows], np.int64), vectors)
 
 
