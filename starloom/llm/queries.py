@@ -84,12 +84,46 @@ def _fingerprints(spark, folder):
     return fingerprints.compare_with_next(table(spark, folder, "documents"))
 
 
-@query("op2_substring_dedup")
+_WORDS_SQL = r"""
+w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents)"""
+
+_SUBSTRING_SQL = f"""
+WITH {_WORDS_SQL},
+win AS (SELECT doc_id, i, list_slice(words, i, i + 12) AS g
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)),
+f AS (SELECT g, min(doc_id) AS earliest FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN f USING (g) WHERE earliest < doc_id),
+word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body, count(*) AS n
+         FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(kept.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op2_substring_dedup", _SUBSTRING_SQL)
 def _substrings(spark, folder):
     return substrings.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
-@query("op6_ngram_jaccard_join")
+_LINK_SQL = f"""
+WITH RECURSIVE {_WORDS_SQL},
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [words] ELSE
+        list_transform(range(1, len(words) - 3), lambda i: list_slice(words, i, i + 4)) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+link AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE k >= 0.8 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a, min(b) AS class_id FROM reach GROUP BY a),
+m AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT w.doc_id, least.class_id, coalesce(m.n_links, 0)::BIGINT AS n_links
+FROM w JOIN least ON least.a = w.doc_id LEFT JOIN m ON m.a = w.doc_id
+"""
+
+
+@query("op6_ngram_jaccard_join", _LINK_SQL)
 def _near_duplicates(spark, folder):
     return forest.link_documents(table(spark, folder, "documents"))
 

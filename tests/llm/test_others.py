@@ -38,7 +38,7 @@ def test_subpackage_queries_are_registered():
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op4_license_scan", "op5_embedding_near_dedup", "op7_chat_formatting"])
+@pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n.startswith("op")))
 def test_query_equals_sql(spark, con, name):
     assert check_oracle.compare(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) == ""
 
