@@ -33,7 +33,7 @@ from starloom.llm.common import as_batch, id_of, in_tasks, pieces_of, text_rows
 MARK = "▁"
 _LITERAL = "\ud800"  # stands for a literal mark; cannot occur in a valid text
 UNKNOWN_LOSS = 10.0
-MOST_UNITS = 700_000
+MOST_UNITS = 500_000
 N_BEST = 4
 _NO_PREFIX = ()
 
