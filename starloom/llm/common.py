@@ -73,15 +73,18 @@ def id_of(key):
     return F.when(key != LEAST, key)
 
 
-def pieces_of(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about ``most`` bytes of text; a longer text is a slice of its own."""
+def pieces_of(batch: pa.RecordBatch, column: str, most: int = 2 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``most`` bytes of text and ``rows`` rows at most.
+
+    A longer text is a slice of its own.
+    """
     if batch.num_rows == 0:
         return
     array = batch.column(batch.schema.get_field_index(column))
     ends = pc.binary_length(array).to_numpy(zero_copy_only=False).astype("int64").cumsum()
     start, base = 0, 0
     while start < batch.num_rows:
-        stop = max(start + 1, int(ends.searchsorted(base + most, "right")))
+        stop = max(start + 1, min(start + rows, int(ends.searchsorted(base + most, "right"))))
         yield batch.slice(start, stop - start)
         start, base = stop, int(ends[stop - 1])
 

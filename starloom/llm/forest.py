@@ -118,8 +118,8 @@ def likely_roots(sketches: np.ndarray, in_left: np.ndarray, in_right: np.ndarray
     most_apart = int((1 - threshold) / 2 * 64 * sketches.shape[1])
     a, b = np.flatnonzero(in_left), np.flatnonzero(in_right)
     left, right = [], []
-    for start in range(0, len(a), 256):
-        rows = a[start:start + 256]
+    for start in range(0, len(a), 64):
+        rows = a[start:start + 64]
         apart = np.bitwise_count(sketches[rows, None, :] ^ sketches[None, b, :]).sum(2, dtype=np.int32)
         x, y = np.nonzero((apart <= most_apart) & (rows[:, None] != b[None, :]))
         left.append(rows[x])

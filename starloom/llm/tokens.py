@@ -13,7 +13,7 @@ import functools
 import numpy as np
 import regex
 
-MOST_WORDS = 1_000_000
+MOST_WORDS = 400_000
 
 
 class WordIds(dict):
