@@ -33,11 +33,22 @@ from starloom.llm.common import as_batch, id_of, in_tasks, pieces_of, text_rows
 MARK = "▁"
 _LITERAL = "\ud800"  # stands for a literal mark; cannot occur in a valid text
 UNKNOWN_LOSS = 10.0
-MOST_UNITS = 500_000
+MOST_UNITS = 1_200_000
 N_BEST = 4
 _NO_PREFIX = ()
 
 
+class _Known(dict):
+    """Numbers of units, found on first use."""
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, unit: str) -> int:
+        return self.pieces._learn(unit)
+
+
 class Pieces:
     """The pieces of one model and the units seen so far."""
 
@@ -74,7 +85,7 @@ class Pieces:
         for p in self.scores:
             self.table |= {p[k:k + 2]: self.table.get(p[k:k + 2]) for k in range(len(p) - 1)}
         self.table |= {p: (score, i.to_bytes(2, "little")) for p, (i, score) in self.scores.items()}
-        self.known: dict[str, int] = {}
+        self.known = _Known(self)
         self.best: list[float] = []
         self.loss: list[float] = []
         self.ids: list[bytes] = []
@@ -204,10 +215,9 @@ class Pieces:
     def segmentations(self, text: str, n: int = N_BEST) -> list[tuple[float, bytes]]:
         """The n best (score, ids as little-endian 16-bit numbers) of a text, best first."""
         if len(self.known) > MOST_UNITS:
-            self.known, self.best, self.loss, self.ids = {}, [], [], []
+            self.known, self.best, self.loss, self.ids = _Known(self), [], [], []
         units = self.units_of(text)
-        known, learn = self.known, self._learn
-        numbers = [known[u] if u in known else learn(u) for u in units]
+        numbers = list(map(self.known.__getitem__, units))
         parts = list(map(self.ids.__getitem__, numbers))
         base = float(sum(map(self.best.__getitem__, numbers)))
         losses = np.fromiter(map(self.loss.__getitem__, numbers), np.float64, len(numbers))
