@@ -74,6 +74,7 @@ class Pieces:
             raise ValueError("the model has no byte pieces to spell unknown characters with")
         if len(self.raw) > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
+        self.sizes = np.array([len(r) for r in self.raw], np.int64)
         self.longest = max(map(len, self.scores))
         real = [s for _, s in self.scores.values() if s > -1e5]
         self.unknown = min(real) - UNKNOWN_LOSS
@@ -242,8 +243,33 @@ class Pieces:
 
     def decode(self, ids) -> str:
         """The text of a sequence of ids; bytes that are no UTF-8 become U+FFFD."""
-        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return _text_of(b"".join(map(self.raw.__getitem__, ids)))
+
+    def round_trips(self, text: str, found: list[np.ndarray]) -> int:
+        """How many of the segmentations decode to the text.
+
+        The first is decoded as a whole. Of the others the ids between the first and the last
+        difference are, and their bytes set between those of the first on either side.
+        """
+        first = found[0]
+        whole = b"".join(map(self.raw.__getitem__, first.tolist()))
+        count, ends = int(_text_of(whole) == text), None
+        for ids in found[1:]:
+            if ends is None:
+                ends = np.concatenate(([0], np.cumsum(self.sizes[first])))
+            least = min(len(first), len(ids))
+            differ = np.flatnonzero(first[:least] != ids[:least])
+            head = int(differ[0]) if len(differ) else least
+            differ = np.flatnonzero(first[::-1][:least - head] != ids[::-1][:least - head])
+            tail = int(differ[0]) if len(differ) else least - head
+            changed = b"".join(map(self.raw.__getitem__, ids[head:len(ids) - tail].tolist()))
+            count += _text_of(whole[:ends[head]] + changed + whole[ends[len(first) - tail]:]) == text
+        return count
+
+
+def _text_of(spelled: bytes) -> str:
+    text = spelled.decode("utf-8", "replace")
+    return text[1:] if text.startswith(" ") else text
 
 
 def _least(values: np.ndarray, n: int) -> np.ndarray:
@@ -314,7 +340,19 @@ def decode_ids(rows: DataFrame, model_path: str, ids_col: str = "ids") -> DataFr
 _REPORT = pa.schema([
     ("key", pa.int64()), ("n_chars", pa.int64()), ("n_found", pa.int64()), ("n_pieces", pa.int64()),
     ("best_score", pa.float64()), ("last_score", pa.float64()), ("ids_crc32", pa.int64()),
-    ("all_crc32", pa.int64()), ("round_trip", pa.bool_())])
+    ("all_crc32", pa.int64()), ("n_round_trips", pa.int64()), ("round_trip", pa.bool_())])
+
+
+def _report(pieces: Pieces, key: int, text: str, n: int) -> tuple:
+    found = pieces.segmentations(text, n)
+    ids = [np.frombuffer(raw, "<u2") for _, raw in found]
+    wide = [i.astype("<u4").tobytes() for i in ids]
+    every = 0
+    for w in wide:
+        every = zlib.crc32(w, every)
+    trips = pieces.round_trips(text, ids)
+    return (key, len(text), len(found), len(ids[0]), found[0][0], found[-1][0], zlib.crc32(wide[0]), every,
+            trips, trips == len(found))
 
 
 def report_n_best(docs: DataFrame, model_path: str, n: int = N_BEST, id_col: str = "doc_id",
@@ -322,26 +360,18 @@ def report_n_best(docs: DataFrame, model_path: str, n: int = N_BEST, id_col: str
     """One row per document about its n best segmentations, as ``encode_n_best`` finds them.
 
     doc_id, n_chars, n_found, n_pieces (of the best), best_score, last_score, ids_crc32 (of the
-    best), all_crc32 (of all, best first; unsigned, ids as little-endian 32-bit numbers) and
-    round_trip: whether the best and the last of them decode to the text.
+    best), all_crc32 (of all, best first; unsigned, ids as little-endian 32-bit numbers),
+    n_round_trips: how many of them decode to the text, and round_trip: whether all do.
     """
     def work(batches):
         pieces = pieces_of_model(model_path)
         for batch in batches:
             for part in pieces_of(batch, "text", 1 << 20):
-                rows = []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    found = pieces.segmentations(text, n)
-                    ids = [np.frombuffer(raw, "<u2") for _, raw in found]
-                    wide = [i.astype("<u4").tobytes() for i in ids]
-                    every = 0
-                    for w in wide:
-                        every = zlib.crc32(w, every)
-                    rows.append((key, len(text), len(found), len(ids[0]), found[0][0], found[-1][0], zlib.crc32(wide[0]),
-                                 every, all(pieces.decode(i.tolist()) == text for i in (ids[0], ids[-1])[:len(ids)])))
+                rows = [_report(pieces, key, text, n)
+                        for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
                 yield as_batch(_REPORT, list(zip(*rows)))
 
     out = in_tasks(text_rows(docs, id_col, text_col), work,
                    "key long, n_chars long, n_found long, n_pieces long, best_score double, last_score double, "
-                   "ids_crc32 long, all_crc32 long, round_trip boolean")
+                   "ids_crc32 long, all_crc32 long, n_round_trips long, round_trip boolean")
     return out.withColumn("doc_id", id_of(F.col("key"))).select("doc_id", *[f.name for f in _REPORT][1:])

@@ -261,6 +261,32 @@ def test_n_best_report(spark):
             assert r.last_score == pieces.n_best(whole, 4)[-1][0]
 
 
+def test_every_segmentation_is_decoded(spark):
+    class Wrong(nbest.Pieces):
+        """Spoils the segmentation of one rank at one place."""
+
+        def segmentations(self, text, n=4):
+            found = super().segmentations(text, n)
+            ids = np.frombuffer(found[self.rank][1], "<u2").copy()
+            ids[self.at] ^= 1
+            found[self.rank] = found[self.rank][0], ids.tobytes()
+            return found
+
+    text = "The quick brown fox, jumped \u6f22\u5b57 over\nthe lazy\u2581dogs " * 3
+    right, pieces = nbest.Pieces(MODEL), Wrong(MODEL)
+    ids = [np.frombuffer(raw, "<u2") for _, raw in right.segmentations(text, 4)]
+    assert [right.decode(i.tolist()) for i in ids] == [text] * 4 and right.round_trips(text, ids) == 4
+    assert right.round_trips("", [np.zeros(0, "<u2")]) == 1
+    for rank in range(4):
+        for at in (0, 7, -1):
+            pieces.rank, pieces.at = rank, at
+            ids = [np.frombuffer(raw, "<u2") for _, raw in pieces.segmentations(text, 4)]
+            assert pieces.decode(ids[rank].tolist()) != text
+            assert nbest._report(pieces, 1, text, 4)[-2:] == (3, False)
+    rows = nbest.report_n_best(data.documents(spark, data.nasty_texts()), MODEL).collect()
+    assert all(r.n_round_trips == r.n_found and r.round_trip for r in rows)
+
+
 def test_ties_do_not_fan_out():
     pieces = nbest.Pieces(MODEL)
     found = pieces.n_best(nbest.MARK + "ab" * 400, 3)
