@@ -220,8 +220,15 @@ FROM f JOIN (SELECT doc_id, {path} AS path FROM documents) e USING (path) LEFT J
 """
 
 
+def _document_path():
+    """``_PATH`` in Spark, whose concat does not skip nulls as DuckDB's does."""
+    parts = (F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), F.expr("doc_id div 1000"), F.lit("/"),
+             F.col("doc_id"), F.lit(".txt"))
+    return F.concat(*(F.coalesce(p.cast("string"), F.lit("")) for p in parts))
+
+
 @query("op4_license_scan", _licence_sql())
 def _licences(spark, folder):
-    docs = table(spark, folder, "documents").withColumn("path", F.expr(_PATH.format("div", "string", "string")))
-    found = licences.scan(docs)
-    return docs.select("doc_id", "path").join(found.drop("mark"), "path")
+    docs = table(spark, folder, "documents").withColumn("path", _document_path())
+    place = docs.select("doc_id", "path", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
+    return place.join(licences.scan(docs), ["path", "mark"]).drop("mark")
