@@ -1,4 +1,4 @@
-"""Licence scan: TF-IDF cosine of text lines to licence notices, then inheritance by directory.
+"""Licence scan: TF-IDF cosine of lines, blocks and files to licences, then inheritance by directory.
 
 Everything runs in DataFrame operations. Weights use the document frequency, over all files, of
 each word of the templates; a word outside them weighs as one that no file has. A line can only
@@ -6,13 +6,21 @@ reach the threshold against a template if it holds one of the template's heavier
 others together have a squared weight below the squared threshold, and the cosine is at most
 the norm of the shared part), so lines without such a word are not scored.
 
-A licence file is one named like it, or one of which licence lines make up ``FILE_SHARE`` of the
-words. Files without a licence line of their own take that of the nearest directory, their own
+Lines are compared with the notices of ``TEMPLATES``. Words of consecutive lines, in windows of a
+template's length that start every eighth of it, and whole files are compared with those and with
+``BLOCKS``: headers, full texts of the short licences, openings of the long ones. Only files, and
+then windows, that hold enough of a template's weight to reach the threshold are scored.
+Templates of fewer than ``LEAST_WINDOW`` words are compared with lines and files alone. A match of
+``LONG`` words or more comes before a shorter one.
+
+A licence file is one named like it, one with an opening of a licence, or one of which licence
+lines, or a block, make up ``FILE_SHARE`` of the words. Files without a licence line of their own take that of the nearest directory, their own
 or one above, that holds a licence file.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -24,6 +32,8 @@ from starloom.llm.common import stored
 
 THRESHOLD = 0.75
 FILE_SHARE = 0.25
+LEAST_WINDOW = 5
+LONG = 20
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
 SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -58,6 +68,87 @@ TEMPLATES = (
 )
 
 
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+    "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+    "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+    "SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+    "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. ")
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. ")
+_BSD_TAIL = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_GNU_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General Public "
+    "License as published by the Free Software Foundation, either version {1} of the License, or (at your option) any "
+    "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+    "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0}General Public License for "
+    "more details. You should have received a copy of the GNU {0}General Public License along with this program. If not, "
+    "see <https://www.gnu.org/licenses/>.")
+_GNU_OPENING = (
+    "GNU {0}GENERAL PUBLIC LICENSE Version {1}, {2} Copyright (C) {3} Free Software Foundation, Inc. Everyone is permitted "
+    "to copy and distribute verbatim copies of this license document, but changing it is not allowed.")
+
+# Openings of texts too long to be held here whole.
+OPENINGS = (
+    ("GPL-3.0", _GNU_OPENING.format("", 3, "29 June 2007", 2007)),
+    ("GPL-2.0", _GNU_OPENING.format("", 2, "June 1991", "1989, 1991")),
+    ("LGPL-3.0", _GNU_OPENING.format("LESSER ", 3, "29 June 2007", 2007)),
+    ("AGPL-3.0", _GNU_OPENING.format("AFFERO ", 3, "19 November 2007", 2007)),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+                   "REPRODUCTION, AND DISTRIBUTION 1. Definitions."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal "
+                "entity that creates, contributes to the creation of, or owns Covered Software."),
+)
+# Titles, headers and full texts, by SPDX name.
+BLOCKS = OPENINGS + (
+    ("MIT", "MIT License"),
+    ("MIT", "Licensed under the MIT License. See LICENSE file in the project root for full license information."),
+    ("MIT", _MIT),
+    ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL),
+    ("BSD-3-Clause", _BSD_HEAD + _BSD_NAMES + _BSD_TAIL),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+            "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+            "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+            "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+            "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
+            "USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                   "compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+                   "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+                   "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+                   "permissions and limitations under the License."),
+    ("GPL-3.0", _GNU_HEADER.format("", 3)),
+    ("GPL-2.0", _GNU_HEADER.format("", 2)),
+    ("LGPL-3.0", _GNU_HEADER.format("Lesser ", 3)),
+    ("AGPL-3.0", _GNU_HEADER.format("Affero ", 3)),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+                "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+                  "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                  "binary, for any purpose, commercial or non-commercial, and by any means."),
+)
+
+
 def template_words(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+", text.lower())
 
@@ -95,25 +186,102 @@ def _literals(rows: list[tuple], schema: str):
     return SparkSession.getActiveSession().range(1).select(F.inline(structs))
 
 
+def _scored(units: DataFrame, place: list[str], idf: dict[str, float], weights: list[tuple], files: int) -> DataFrame:
+    """Cosine of each unit (``place``, words) with each template that it shares a word with."""
+    idf_rows = _literals(sorted(idf.items()), "word string, idf double")
+    counted = units.select(*place, F.explode("words").alias("word")) \
+        .groupBy(*place, "word").agg(F.count("*").alias("n")).join(F.broadcast(idf_rows), "word", "left") \
+        .withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(math.log(1 + files) + 1)))
+    counted = stored(counted.select(*place, "word", "weight"))
+    norms = counted.groupBy(*place).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    template_rows = _literals(weights, "template int, licence string, word string, value double")
+    products = counted.join(F.broadcast(template_rows), "word").groupBy(*place, "template", "licence").agg(
+        F.sum(F.col("weight") * F.col("value")).alias("product"))
+    return products.join(norms, place).withColumn("score", F.round(F.col("product") / F.col("norm"), 6))
+
+
+def _block_matches(rows: DataFrame, words, blocks: tuple, notices: int, files: int, holding: dict[str, int],
+                   threshold: float) -> DataFrame:
+    """(path, mark, short, s, licence, licence_words, opening) of windows, titles and files that match.
+
+    A cosine is at most the norm of what is shared, which picks the files and then the windows.
+    """
+    idf, weights, needed = weigh(blocks, files, holding)
+    limit = threshold ** 2 - 1e-9
+    shares: dict[str, list[float]] = {w: [0.0] * len(blocks) for w in idf}
+    for t, _, w, value in weights:
+        shares[w][t] = value * value
+    sizes = [len(template_words(text)) for _, text in blocks]
+    openings = range(notices, notices + len(OPENINGS))
+    first: list[list[str]] = [[] for _ in blocks]
+    rest = [1.0] * len(blocks)
+    for t, _, w, value in weights:  # by template, the heaviest words first
+        if rest[t] >= limit:
+            first[t].append(w)
+        rest[t] -= value * value
+    shape = F.broadcast(_literals([(t, n, max(1, n // 8), t in openings, " ".join(first[t])) for t, n in enumerate(sizes)],
+                                  "template int, size int, step int, opening boolean, first string"))
+    share_of = F.from_json(F.lit(json.dumps(shares)), "map<string,array<double>>")
+    sums = F.aggregate("held", F.array_repeat(F.lit(0.0), len(blocks)), lambda total, w: F.zip_with(
+        total, F.element_at(share_of, w), lambda a, b: a + b))
+    near = F.filter(F.transform(sums, lambda s, i: F.when(s >= limit, i)), lambda i: i.isNotNull())
+    docs = rows.select("path", "text", F.array_intersect(_words(F.col("text")), words).alias("held")) \
+        .where(F.arrays_overlap("held", F.array(*(F.lit(w) for w in needed)))) \
+        .select("path", "text", near.alias("near")).where(F.size("near") > 0)
+    docs = stored(docs.distinct().select(
+        "path", F.xxhash64("text").alias("mark"), "near",
+        F.transform(F.split("text", "\n"), lambda line: _words(line)).alias("lines")))
+    whole = docs.select("path", "mark", "near", F.flatten("lines").alias("words"))
+
+    # A window needs one of its template's heaviest words; the rest of the filter stays in the row.
+    size, step, template = F.col("size"), F.col("step"), F.col("template")
+    hits = F.filter(F.transform("words", lambda w, at: F.when(F.array_contains("first", w), at)), lambda at: at.isNotNull())
+    starts = F.array_distinct(F.flatten(F.transform("hits", lambda at: F.sequence(
+        F.greatest(F.lit(0).cast("long"), F.floor((at - size) / step) + 1), F.floor(at / step)))))
+    shared = F.aggregate(F.array_intersect("words", words), F.lit(0.0),
+                         lambda total, w: total + F.get(F.element_at(share_of, w), template))
+    windows = whole.select("path", "mark", F.explode("near").alias("template"), "words").join(shape, "template") \
+        .where(size >= LEAST_WINDOW).withColumn("first", F.split("first", " ")).withColumn("hits", hits) \
+        .withColumn("windows", F.transform(starts, lambda k: F.struct(
+            (k * step).cast("int").alias("line"), F.slice("words", (k * step + 1).cast("int"), size).alias("words")))) \
+        .select("path", "mark", "template", "size", F.explode("windows").alias("window")) \
+        .select("path", "mark", "template", "size", "window.line", "window.words").where(shared >= limit)
+    units = windows.select("path", "mark", F.lit("window").alias("kind"), "line", "size", "words").distinct()
+    titles = docs.where(F.exists("near", lambda t: t.isin([i for i, n in enumerate(sizes) if n < LEAST_WINDOW]))).select(
+        "path", "mark", F.lit("line").alias("kind"), F.posexplode("lines").alias("line", "words")).where(
+        F.size("words").between(1, 2 * LEAST_WINDOW)).withColumn("size", F.size("words"))
+    every = whole.select("path", "mark", F.lit("file").alias("kind"), F.lit(0).alias("line"),
+                         F.size("words").alias("size"), "words")
+    units = stored(units.unionByName(titles).unionByName(every))
+    scored = _scored(units, ["path", "mark", "kind", "line", "size"], idf, weights, files).where(F.col("score") >= threshold)
+    found = scored.withColumnRenamed("size", "n").join(shape, "template") \
+        .where((F.col("kind") != "window") | (size >= LEAST_WINDOW))
+    return found.groupBy("path", "mark").agg(
+        F.min(F.struct(F.when(size >= LONG, 0).otherwise(1).alias("short"), (-F.col("score")).alias("s"), "licence")).alias("best"),
+        F.max("n").cast("long").alias("licence_words"), F.max("opening").alias("opening")).select(
+            "path", "mark", "best.short", "best.s", "best.licence", "licence_words", "opening")
+
+
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templates=TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
     """One row per distinct file (path and text): path, mark, licence, score, origin, from_dir.
 
     ``mark`` is a hash of the text, to tell texts under one path apart. ``licence`` is that of
-    the line with the highest cosine (then the first name) with ``origin`` ``header``, or the
+    the line or block with the highest cosine (long blocks first, then the first name) with ``origin`` ``header``, or the
     nearest directory's with ``origin`` ``inherited`` and ``from_dir``; null if there is none.
     A null path is the empty path, a null or empty text has no licence line; repeated rows
     count once; no files give no rows.
     """
     rows = files.select(F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit("")).alias("path"),
                         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    words = F.array(*(F.lit(w) for w in vocabulary(templates)))
+    blocks = (*templates, *BLOCKS)
+    words = F.array(*(F.lit(w) for w in vocabulary(blocks)))
     held = stored(rows.select("path", F.xxhash64("text").alias("mark"),
                               F.array_intersect(_words(F.col("text")), words).alias("held")))
     holding = {r["word"]: r["n"] for r in held.select(F.explode("held").alias("word")).groupBy("word")
                .agg(F.count("*").alias("n")).collect()}
-    idf, weights, needed = weigh(templates, held.count(), holding)
-    unknown = max(idf.values(), default=1.0) if not idf else math.log(1 + held.count()) + 1
+    files = held.count()
+    idf, weights, needed = weigh(templates, files, holding)
     need = F.array(*(F.lit(w) for w in needed))
 
     lines = (rows.select("path", F.xxhash64("text").alias("mark"), "text")
@@ -121,30 +289,25 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templ
              .select("path", "mark", "line", _words(F.col("body")).alias("words"))
              .where(F.arrays_overlap("words", need)))
     lines = stored(lines.distinct())
-    idf_rows = _literals(sorted(idf.items()), "word string, idf double")
-    counted = lines.select("path", "mark", "line", F.explode("words").alias("word")) \
-        .groupBy("path", "mark", "line", "word").agg(F.count("*").alias("n")).join(F.broadcast(idf_rows), "word", "left") \
-        .withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(unknown)))
-    counted = stored(counted.select("path", "mark", "line", "word", "weight"))
     place = ["path", "mark", "line"]
-    norms = counted.groupBy(*place).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    template_rows = _literals(weights, "template int, licence string, word string, value double")
-    products = counted.join(F.broadcast(template_rows), "word").groupBy(*place, "template", "licence").agg(
-        F.sum(F.col("weight") * F.col("value")).alias("product"))
-    scored = products.join(norms, place).withColumn("score", F.round(F.col("product") / F.col("norm"), 6)) \
-        .where(F.col("score") >= threshold)
+    scored = _scored(lines, place, idf, weights, files).where(F.col("score") >= threshold)
     per_line = scored.groupBy(*place).agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("best"))
     matched = per_line.join(lines.select(*place, F.size("words").alias("n")), place)
-    own = stored(matched.groupBy("path", "mark").agg(
-        F.min("best").alias("best"), F.sum("n").alias("licence_words")).select(
-            "path", "mark", F.col("best.licence").alias("licence"), (-F.col("best.s")).alias("score"), "licence_words"))
+    by_line = matched.groupBy("path", "mark").agg(F.min("best").alias("best"), F.sum("n").alias("licence_words")).select(
+        "path", "mark", F.lit(1).alias("short"), "best.s", "best.licence", "licence_words", F.lit(False).alias("opening"))
+    by_block = _block_matches(rows, words, blocks, len(templates), files, holding, threshold)
+    own = stored(by_line.unionByName(by_block).groupBy("path", "mark").agg(
+        F.min(F.struct("short", "s", "licence")).alias("best"), F.max("licence_words").alias("licence_words"),
+        F.max("opening").alias("opening")).select(
+            "path", "mark", F.col("best.licence").alias("licence"), (-F.col("best.s")).alias("score"),
+            "licence_words", "opening"))
 
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
     sizes = rows.select("path", F.xxhash64("text").alias("mark"), "text").join(
         own.select("path", "mark"), ["path", "mark"], "left_semi").select(
         "path", "mark", F.size(_words(F.col("text"))).alias("words")).distinct()
     licence_files = own.join(sizes, ["path", "mark"]).where(
-        F.element_at(F.split("path", "/"), -1).rlike(FILE_NAMES)
+        F.element_at(F.split("path", "/"), -1).rlike(FILE_NAMES) | F.col("opening")
         | (F.col("licence_words") >= FILE_SHARE * F.col("words")))
     folders = licence_files.groupBy(folder.alias("from_dir")).agg(
         F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("best")).select(
@@ -159,7 +322,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templ
         F.max(F.struct(F.length("from_dir").alias("depth"), "from_dir", "inherited", "inherited_score")).alias("near")) \
         .select("dir", "near.from_dir", "near.inherited", "near.inherited_score")
     every = held.select("path", "mark").distinct().withColumn("dir", folder)
-    found = every.join(own.drop("licence_words"), ["path", "mark"], "left").join(stored(nearest), "dir", "left")
+    found = every.join(own.drop("licence_words", "opening"), ["path", "mark"], "left").join(stored(nearest), "dir", "left")
     mine = F.col("licence").isNotNull()
     return found.select(
         "path", "mark", F.coalesce("licence", "inherited").alias("licence"),

@@ -4,6 +4,7 @@ import math
 import os
 import random
 import sys
+import textwrap
 import zlib
 
 import brute
@@ -103,6 +104,36 @@ def test_root_licence_reaches_all(spark):
     assert (found["x/y/z.txt"].licence, found["x/y/z.txt"].from_dir) == ("CC-BY-NC-4.0", "")
 
 
+def test_wrapped_headers_full_texts_and_notices_within_paragraphs(spark):
+    rng = random.Random(3)
+    blocks = {name: text for name, text in licences.BLOCKS if len(text) > 200 and (name, text) not in licences.OPENINGS}
+    filler = [(f"z/{i}.txt", data.prose(rng, 150), None, None) for i in range(60)]
+
+    def wrapped(text, width, before=""):
+        return "\n".join(before + line for line in textwrap.wrap(text, width))
+
+    prose = data.prose(rng, 400)
+    found = scanned(spark, filler + [
+        ("m/TERMS", "MIT License\n\nCopyright (c) 2021 Some Body\n\n" + wrapped(blocks["MIT"], 72), None, None),
+        ("m/src/a.py", "print(1)", None, None),
+        ("g/b.c", "/*\n" + wrapped(blocks["GPL-3.0"], 70, " * ") + "\n */\n" + prose, None, None),
+        ("l/b.c", wrapped(blocks["LGPL-3.0"], 60, "// ") + "\n" + prose, None, None),
+        ("b/T", "Copyright (c) 2020, Some Body\nAll rights reserved.\n\n" + wrapped(blocks["BSD-3-Clause"], 76), None, None),
+        ("b2/T", "Copyright (c) 2020, Some Body\n\n" + wrapped(blocks["BSD-2-Clause"], 76), None, None),
+        ("p/d.py", wrapped(blocks["Apache-2.0"], 68, "# ") + "\n" + prose, None, None),
+        ("i/T", wrapped(blocks["ISC"], 50), None, None),
+        ("t/x.txt", prose + "\nMIT License\n" + prose, None, None),
+        ("s/e.cs", "// Licensed under the MIT License. See LICENSE file in the project root for full license information.\n"
+         + prose, None, None),
+        ("w/f.txt", prose + " it is licensed under the Apache License, Version 2.0 and " + prose, None, None),
+        ("o/T", wrapped(licences.OPENINGS[0][1], 60) + "\n" + data.prose(rng, 2000), None, None), ("o/a/q.c", "x", None, None)])
+    assert {p: r.licence for p, r in found.items() if r.origin == "header"} == {
+        "m/TERMS": "MIT", "g/b.c": "GPL-3.0", "l/b.c": "LGPL-3.0", "b/T": "BSD-3-Clause", "b2/T": "BSD-2-Clause",
+        "p/d.py": "Apache-2.0", "i/T": "ISC", "t/x.txt": "MIT", "s/e.cs": "MIT", "w/f.txt": "Apache-2.0", "o/T": "GPL-3.0"}
+    assert (found["m/src/a.py"].licence, found["m/src/a.py"].from_dir) == ("MIT", "m")
+    assert (found["o/a/q.c"].licence, found["o/a/q.c"].from_dir) == ("GPL-3.0", "o")
+
+
 def test_licence_scan_keeps_every_document(spark, tmp_path):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [(1, None, "en", "plain"), (2, "web", None, mit), (None, "code", "de", gpl), (None, None, None, None),
