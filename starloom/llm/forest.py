@@ -1,9 +1,9 @@
-"""Near-duplicate documents: a MinHash LSH forest, then exact Jaccard of five-word shingles.
+"""Near-duplicate documents: MinHash bands, then exact Jaccard of five-word shingles.
 
-1. Equal word sequences are one class. Each class has a MinHash signature cut into trees; a
-   tree's label is a prefix of its minima. Labels start at ``DEEPEST`` minima and are shortened
-   until a pair at the threshold meets in some tree with the target probability
-   (``prefix_length``).
+1. Equal word sequences are one class. Each class has a MinHash signature cut into trees of
+   ``DEEPEST`` minima; a tree's label is its first ``prefix_length`` minima, the same number in
+   all: the most at which a pair at the threshold meets in some tree with the target
+   probability. This is fixed banding, not a forest that shortens labels as it searches.
 2. In each bucket of equal labels all sketches (one bit of each minimum) are compared in numpy,
    block against block where a bucket is large. A task returns one root per class that has a
    likely partner, not pairs; components over all trees are the candidate clusters.
