@@ -81,7 +81,7 @@ def pieces_of(batch: pa.RecordBatch, column: str, most: int = 2 << 20, rows: int
     if batch.num_rows == 0:
         return
     array = batch.column(batch.schema.get_field_index(column))
-    ends = pc.binary_length(array).to_numpy(zero_copy_only=False).astype("int64").cumsum()
+    ends = pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False).astype("int64").cumsum()
     start, base = 0, 0
     while start < batch.num_rows:
         stop = max(start + 1, min(start + rows, int(ends.searchsorted(base + most, "right"))))

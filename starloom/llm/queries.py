@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, extraction, fingerprints, forest, licences, nbest, packing, quality, substrings, vectors
+from starloom.llm import (
+    alignment, chat, counts, extraction, fill_middle, fingerprints, forest, licences, nbest, packing, quality,
+    substrings, vectors,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 # Where a vocabulary file lies; the files belong to an installed package, not to this one.
@@ -232,3 +235,39 @@ def _licences(spark, folder):
     docs = table(spark, folder, "documents").withColumn("path", _document_path())
     place = docs.select("doc_id", "path", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
     return place.join(licences.scan(docs), ["path", "mark"]).drop("mark")
+
+
+@query("op11_token_counts")
+def _token_counts(spark, folder):
+    return counts.count_tokens(table(spark, folder, "documents"), VOCABULARY("word_bpe_49k.json"))
+
+
+_MIDDLE_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+                  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+h AS (SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS x, ('0x' || h[9:16])::BIGINT % (n + 1) AS y,
+             ('0x' || h[17:24])::BIGINT % 100 AS h3, ('0x' || h[25:32])::BIGINT % 100 AS h4 FROM d),
+f AS (SELECT *, least(x, y) AS a, greatest(x, y) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90
+                  THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substring(text, 1, a) AS prefix, substring(text, a + 1, b - a) AS middle,
+             substring(text, b + 1) AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_fill_in_middle", _MIDDLE_SQL)
+def _fill_in_middle(spark, folder):
+    made = fill_middle.transform(table(spark, folder, "documents")).drop("pieces")
+    return fill_middle.restore(made).drop("output", "restored")
+
+
+@query("op13_tokenizer_alignment")
+def _alignment(spark, folder):
+    return alignment.align(table(spark, folder, "documents"),
+                           VOCABULARY("byte_bpe_50k.json"), VOCABULARY("piece_bpe_32k.model"))

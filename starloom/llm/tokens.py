@@ -26,7 +26,7 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.units = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
 
@@ -54,7 +54,7 @@ class WordIds(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, text.encode().split())), "<u2")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(plain)]
