@@ -241,7 +241,7 @@ def aligned(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
         known = units(a_path, b_path)
         out = blocks.Blocks(pa.int64(), measures)
         for batch in batches:
-            for part in pieces_of(batch, "text", blocks.BLOCK_BYTES):
+            for part in pieces_of(batch, "text", blocks.SLICE_BYTES):
                 yield from _block(part, known, out)
 
     return in_tasks(rows, work, blocks.LAYOUT.format("long")
@@ -268,8 +268,9 @@ def _block(part: pa.RecordBatch, known: Units, out: blocks.Blocks):
             digests[d] = hashlib.sha256(text[at:end]).hexdigest()
             at = end
     pairs, which, often = np.unique((a_ids[of_a] << 16) | b_ids[of_b], return_inverse=True, return_counts=True)
-    yield from out.rows(pairs, often, *blocks.frequencies(owner, which, len(pairs), len(n_a)),
+    yield out.documents(*blocks.frequencies(owner, which, len(pairs), len(n_a)),
                         [part.column(0), n_a, n_b, n_groups, n_links, digests])
+    yield from out.dictionary(pairs, often)
 
 
 def pair_counts(found: DataFrame) -> DataFrame:

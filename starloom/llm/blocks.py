@@ -1,9 +1,10 @@
 """Per-document frequencies over the dictionary of a block, and values joined to its entries.
 
-A block is a slice of documents of about two megabytes of text. It is stored as rows of two
-kinds: its distinct entries, which are joined once per block however many documents hold them,
-and its documents, each with the places of its entries in that dictionary and their numbers
-of occurrences. ``with_values`` brings the joined values back to the documents of their block.
+A block is a run of documents of one task. It is stored as rows of two kinds: its distinct
+entries, which are joined once per block however many documents hold them, and its documents,
+each with the places of its entries in that dictionary and their numbers of occurrences. A block
+ends when its dictionary is full, so what a task holds is bounded. ``with_values`` brings the
+joined values back to the documents of their block.
 
 A block's number comes from its task and place and is fixed when the rows are stored, so
 everything after that agrees on it, whatever is computed again.
@@ -21,7 +22,7 @@ from starloom.llm.common import in_tasks
 
 DICTIONARY, DOCUMENT = 0, 1
 ENTRIES_A_ROW = 4096
-BLOCK_BYTES = 2 << 20
+SLICE_BYTES = 2 << 20
 LAYOUT = "block long, kind int, first int, entries array<{}>, weights array<long>, at binary, times binary"
 
 
@@ -35,20 +36,21 @@ class Blocks:
             ("weights", pa.list_(pa.int64())), ("at", pa.binary()), ("times", pa.binary()), *measures])
         self.measures = measures
 
-    def rows(self, entries, weights, at: np.ndarray, times: np.ndarray, ends: np.ndarray, columns: list):
-        """Batches of one block: ``at[ends[i - 1]:ends[i]]`` are the entries of document i."""
-        block, self.next = self.next, self.next + 1
+    def documents(self, at: np.ndarray, times: np.ndarray, ends: np.ndarray, columns: list) -> pa.RecordBatch:
+        """Documents of the block in hand: ``at[ends[i - 1]:ends[i]]`` are the entries of document i."""
+        bounds = list(zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist()))
+        return self._batch(len(ends), self.next, DOCUMENT, None, None, None,
+                           [packed_places(at[a:b]) for a, b in bounds], [packed(times[a:b]) for a, b in bounds], columns)
+
+    def dictionary(self, entries, weights=None):
+        """The entries of the block in hand, which ends here."""
         firsts = range(0, len(entries), ENTRIES_A_ROW)
-        n = len(firsts)
-        cut = [slice(f, f + ENTRIES_A_ROW) for f in firsts]
-        nothing = [pa.nulls(n, kind) for _, kind in self.measures]
-        if n:
-            yield self._batch(n, block, DICTIONARY, list(firsts), [entries[c] for c in cut],
-                              None if weights is None else [weights[c] for c in cut], None, None, nothing)
-        begins = np.concatenate([[0], ends[:-1]]).tolist()
-        bounds = list(zip(begins, ends.tolist()))
-        yield self._batch(len(ends), block, DOCUMENT, None, None, None,
-                          [packed(at[a:b]) for a, b in bounds], [packed(times[a:b]) for a, b in bounds], columns)
+        block, self.next = self.next, self.next + 1
+        if firsts:
+            cut = [slice(f, f + ENTRIES_A_ROW) for f in firsts]
+            yield self._batch(len(firsts), block, DICTIONARY, list(firsts), [entries[c] for c in cut],
+                              None if weights is None else [weights[c] for c in cut], None, None,
+                              [pa.nulls(len(firsts), kind) for _, kind in self.measures])
 
     def _batch(self, n, block, kind, first, entries, weights, at, times, columns) -> pa.RecordBatch:
         values = [[block] * n, [kind] * n, first, entries, weights, at, times]
@@ -69,6 +71,26 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, f"<u{raw[0]}", offset=1)
 
 
+def packed_places(values: np.ndarray) -> bytes:
+    """Ascending numbers by their steps: single bytes, and four bytes for each step above 254."""
+    steps = np.diff(values, prepend=0)
+    wide = steps[steps > 254]
+    plain = packed(values)
+    if len(values) + 4 * len(wide) + 5 >= len(plain):
+        return plain
+    return (b"\0" + len(values).to_bytes(4, "little") + np.minimum(steps, 255).astype(np.uint8).tobytes()
+            + wide.astype("<u4").tobytes())
+
+
+def unpacked_places(raw: bytes) -> np.ndarray:
+    if raw[0]:
+        return unpacked(raw)
+    n = int.from_bytes(raw[1:5], "little")
+    steps = np.frombuffer(raw, np.uint8, n, 5).astype(np.int64)
+    steps[steps == 255] = np.frombuffer(raw, "<u4", offset=5 + n)
+    return np.cumsum(steps)
+
+
 def frequencies(owner: np.ndarray, at: np.ndarray, size: int, owners: int):
     """(at, times, ends) per owner from one (owner, entry) pair per occurrence."""
     codes, times = np.unique(owner * np.int64(max(size, 1)) + at, return_counts=True)
@@ -125,7 +147,7 @@ def with_values(blocks: DataFrame, values: DataFrame, names: list[str], measures
                 out = []
                 for raw, often in zip(column["at"].slice(a, b - a).to_pylist(),
                                       column["times"].slice(a, b - a).to_pylist()):
-                    out.append(total(unpacked(often).astype(np.int64), table[:, unpacked(raw)]))
+                    out.append(total(unpacked(often).astype(np.int64), table[:, unpacked_places(raw)]))
                 yield pa.RecordBatch.from_arrays(
                     [column[m].slice(a, b - a) for m in measures]
                     + [pa.array(list(c), pa.int64()) for c in zip(*out)],

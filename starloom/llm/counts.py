@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +28,17 @@ from starloom.llm.common import id_of, in_tasks, pieces_of, stored, text_rows
 from starloom.llm.tokens import byte_letters
 
 LIMIT = 2048
-MOST_WORDS = 400_000
-LONGEST_KEPT = 64
+FULL = 1 << 18  # pre-tokens in the dictionary of a block
 BLANK = " "
 
 
-class PreTokens(dict):
-    """Pre-tokens of a word (UTF-8 bytes), found on first use; and the pieces of a pre-token."""
+class PreTokens:
+    """Cuts words into pre-tokens, and counts the pieces of a pre-token."""
 
     def __init__(self, path: str):
         import regex
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.library = Tokenizer.from_file(path)
         self.normalizer, self.cutter, self.model = (
             self.library.normalizer, self.library.pre_tokenizer, self.library.model)
@@ -50,14 +49,6 @@ class PreTokens(dict):
         self.units = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.letters = byte_letters()
 
-    def __missing__(self, word: bytes) -> tuple[str, ...]:
-        value = self.cut(word.decode())
-        if len(word) <= LONGEST_KEPT:
-            if len(self) >= MOST_WORDS:
-                self.clear()
-            self[word] = value
-        return value
-
     def cut(self, word: str) -> tuple[str, ...]:
         if self.special is None or not self.special.search(word):
             return self._plain(word)
@@ -66,11 +57,18 @@ class PreTokens(dict):
             (BLANK + part,) if i % 2 else self._plain(part) for i, part in enumerate(parts) if part))
 
     def _plain(self, word: str) -> tuple[str, ...]:
-        if max(word) < "\x80":
-            low = word.lower()
-            return (low,) if low.isalpha() else tuple(u.translate(self.letters) for u in self.units.findall(low))
-        text = self.normalizer.normalize_str(word) if self.normalizer else word
-        return tuple(t for t, _ in self.cutter.pre_tokenize_str(text))
+        try:
+            word.encode("latin-1")
+        except UnicodeEncodeError:
+            text = self.normalizer.normalize_str(word) if self.normalizer else word
+            return tuple(t for t, _ in self.cutter.pre_tokenize_str(text))
+        low = word.lower()
+        if low.isalpha():
+            return (low if low.isascii() else self._lettered(low),)
+        return tuple(map(self._lettered, self.units.findall(low)))
+
+    def _lettered(self, unit: str) -> str:
+        return unit.encode().decode("latin-1").translate(self.letters)
 
     def pieces(self, pre_token: str) -> int:
         return 1 if pre_token[0] == BLANK else len(self.model.tokenize(pre_token))
@@ -90,6 +88,29 @@ class _Numbers(dict):
         return n
 
 
+class _Dictionary:
+    """The words and pre-tokens of a block so far, each with its number."""
+
+    def __init__(self, known: PreTokens):
+        self.known, self.words, self.places = known, _Numbers(), _Numbers()
+        self.flat, self.begin = array("q"), array("q", [0])  # pre-tokens of word i: flat[begin[i]:begin[i + 1]]
+
+    def occurrences(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, pre-token) of every occurrence, as numbers."""
+        # bytes.split() cuts at ASCII white space alone.
+        found = [np.fromiter(map(self.words.__getitem__, text.encode().split()), np.int64) for text in texts]
+        for word in itertools.islice(self.words, len(self.begin) - 1, None):
+            self.flat.extend(map(self.places.__getitem__, self.known.cut(word.decode())))
+            self.begin.append(len(self.flat))
+        begin, flat = np.array(self.begin), np.array(self.flat)
+        word = np.concatenate(found)
+        owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        # Every occurrence of a word stands for its pre-tokens.
+        many = begin[word + 1] - begin[word]
+        nth = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        return np.repeat(owner, many), flat[np.repeat(begin[word], many) + nth]
+
+
 def frequencies(rows: DataFrame, path: str) -> DataFrame:
     """(key, text) rows as blocks of pre-token frequencies, with each text's UTF-8 bytes."""
     measures = [("key", pa.int64()), ("n_bytes", pa.int64())]
@@ -97,27 +118,17 @@ def frequencies(rows: DataFrame, path: str) -> DataFrame:
     def work(batches):
         known = pre_tokens(path)
         out = blocks.Blocks(pa.string(), measures)
+        held = _Dictionary(known)
         for batch in batches:
-            for part in pieces_of(batch, "text", blocks.BLOCK_BYTES):
-                words, cuts, held, sizes = _Numbers(), _Numbers(), [], []
-                for text in part.column(1).to_pylist():
-                    # bytes.split() cuts at ASCII white space alone.
-                    found = np.fromiter(map(words.__getitem__, text.encode().split()), np.int64)
-                    held.append(found)
-                    sizes.append(len(found))
-                cut = [[cuts[p] for p in known[w]] for w in words]
-                width = np.fromiter(map(len, cut), np.int64, len(cut))
-                flat = np.fromiter(itertools.chain.from_iterable(cut), np.int64)
-                begin = np.cumsum(width) - width
-                word = np.concatenate(held)
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                # Every occurrence of a word stands for its pre-tokens.
-                many = width[word]
-                nth = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-                at = flat[np.repeat(begin[word], many) + nth]
-                yield from out.rows(list(cuts), None, *blocks.frequencies(
-                    np.repeat(owner, many), at, len(cuts), len(sizes)),
+            for part in pieces_of(batch, "text", blocks.SLICE_BYTES):
+                owner, at = held.occurrences(part.column(1).to_pylist())
+                yield out.documents(
+                    *blocks.frequencies(owner, at, len(held.places), part.num_rows),
                     [part.column(0), pc.binary_length(part.column(1)).cast(pa.int64())])
+                if len(held.places) >= FULL:
+                    yield from out.dictionary(list(held.places))
+                    held = _Dictionary(known)
+        yield from out.dictionary(list(held.places))
 
     return in_tasks(rows, work, blocks.LAYOUT.format("string") + ", key long, n_bytes long")
 
