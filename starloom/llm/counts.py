@@ -160,7 +160,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     rows = stored(frequencies(text_rows(docs, id_col, text_col), tokenizer_path))
     found = blocks.entries(rows)
     pieces = stored(piece_counts(found, tokenizer_path))
-    counted = blocks.with_values(rows, found.join(pieces, "entry"), ["pieces"], ["key", "n_bytes"], _sum,
+    # Stored, so that the shuffle of the entries is gone before that of the documents begins.
+    values = stored(found.join(pieces, "entry").select("block", "place", "pieces"))
+    counted = blocks.with_values(rows, values, ["pieces"], ["key", "n_bytes"], _sum,
                                  "key long, n_bytes long, n_tokens long")
     return counted.select(id_of(F.col("key")).alias("doc_id"), "n_bytes", "n_tokens",
                           (F.col("n_tokens") > limit).alias("over_limit"))
