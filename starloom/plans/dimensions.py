@@ -12,15 +12,16 @@ from starloom.functions.columns import count_if, date_key, price_band
 from starloom.operators.joins import lookup_join
 from starloom.operators.quality import PRODUCT_CHECKS, run_quality_checks
 from starloom.operators.reconcile import account_for_rows
-from starloom.operators.upsert import Inserted, insert_absent
+from starloom.operators.upsert import Inserted, Prepared, prepare_insert
 from starloom.schemas import (
-    DIM_BRAND, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_PROFILE, PRODUCT_DROP_REASONS,
+    DIM_BRAND, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_PROFILE, FACT, PRODUCT_DROP_REASONS,
     PROFILE_ATTRIBUTES, STAGED_PRODUCT, STAGED_REVIEW,
 )
 from starloom.session import cut_lineage
 from starloom.sources import layers
 
 CALENDAR_PADDING_DAYS = 30
+STAR_TABLES = (DIM_BRAND, DIM_PRODUCT, DIM_CUSTOMER, DIM_PROFILE, DIM_DATE, FACT)
 
 
 def brand_rows(products: DataFrame) -> DataFrame:
@@ -76,10 +77,9 @@ def calendar_between(spark: SparkSession, start: date, end: date) -> DataFrame:
     return calendar(spark.range(1).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date")))
 
 
-def load_products(spark: SparkSession, root: str) -> Inserted:
-    """Resolve, account for every row, pass the gate, insert new products."""
+def prepare_products(spark: SparkSession, root: str, brand: DataFrame) -> Prepared:
+    """Resolve, account for every row, pass the gate, write new products."""
     products = layers.read_table(spark, root, STAGED_PRODUCT)
-    brand = layers.read_table(spark, root, DIM_BRAND)
     resolved = cut_lineage(resolve_products(products, brand))
     rows = product_rows(resolved)
     counts = resolved.agg(
@@ -88,33 +88,53 @@ def load_products(spark: SparkSession, root: str) -> Inserted:
     account_for_rows(products.count(), counts["all"] - counts.dropped,
                         {PRODUCT_DROP_REASONS[0]: counts.dropped}, "dim_product")
     run_quality_checks(rows, "dim_product", PRODUCT_CHECKS)
-    return insert_absent(rows, root, DIM_PRODUCT, unique=True, stored=True)
+    return prepare_insert(rows, root, DIM_PRODUCT, unique=True, stored=True, targets={DIM_BRAND.name: brand})
 
 
-def load_calendar(spark: SparkSession, root: str) -> Inserted:
+def prepare_calendar(spark: SparkSession, root: str) -> Prepared:
     bounds = date_bounds(layers.read_table(spark, root, STAGED_REVIEW))
-    return insert_absent(calendar(bounds.where("start_date is not null")), root, DIM_DATE, unique=True)
+    return prepare_insert(calendar(bounds.where("start_date is not null")), root, DIM_DATE, unique=True)
+
+
+def load_calendar(spark: SparkSession, root: str) -> Inserted:
+    prepared = prepare_calendar(spark, root)
+    if prepared.versions:
+        layers.put_in_force(spark, root, prepared.versions, keep=True)
+    return prepared.done
 
 
 def load_dimensions(spark: SparkSession, root: str) -> dict[str, Inserted]:
     """Every dimension in full: a review may only refer to members already loaded.
 
-    Only products depend on another dimension, so the branches run side by side.
+    Only products depend on another dimension, so the branches run side by side. They write
+    and count; once all are done their rows are put in force in one step, or none if one fails.
     """
     products = layers.read_table(spark, root, STAGED_PRODUCT)
     reviews = layers.read_table(spark, root, STAGED_REVIEW)
+    layers.create_missing(spark, root, list(STAR_TABLES))
 
     def brand_then_product():
-        brand = insert_absent(brand_rows(products), root, DIM_BRAND)
-        return brand, load_products(spark, root)
-
-    with ThreadPoolExecutor(max_workers=4) as branches:
-        chain = branches.submit(brand_then_product)
-        customer = branches.submit(
-            lambda: insert_absent(customer_rows(reviews), root, DIM_CUSTOMER, unique=True))
-        profile = branches.submit(
-            lambda: insert_absent(profile_rows(reviews), root, DIM_PROFILE, unique=True))
-        day = branches.submit(lambda: load_calendar(spark, root))
-        brand, product = chain.result()
-        return {"brand": brand, "product": product, "customer": customer.result(),
-                "profile": profile.result(), "date": day.result()}
+        brand = prepare_insert(brand_rows(products), root, DIM_BRAND)
+        try:
+            return brand, prepare_products(spark, root, layers.read_with(spark, root, DIM_BRAND, brand.versions))
+        except BaseException:
+            layers.discard(spark, root, brand.versions)
+            raise
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        branches = {
+            "brand, product": pool.submit(brand_then_product),
+            "customer": pool.submit(lambda: (prepare_insert(customer_rows(reviews), root, DIM_CUSTOMER, unique=True),)),
+            "profile": pool.submit(lambda: (prepare_insert(profile_rows(reviews), root, DIM_PROFILE, unique=True),)),
+            "date": pool.submit(lambda: (prepare_calendar(spark, root),)),
+        }
+    failed = [b.exception() for b in branches.values() if b.exception()]
+    found = {name: prepared for names, b in branches.items() if not b.exception()
+             for name, prepared in zip(names.split(", "), b.result())}
+    versions = [v for prepared in found.values() for v in prepared.versions]
+    if failed:
+        layers.discard(spark, root, versions)
+        raise failed[0]
+    if versions:
+        layers.put_in_force(spark, root, versions, keep=True)
+    return {name: prepared.done for name, prepared in found.items()}

@@ -87,10 +87,8 @@ def rebuild_staging(spark: SparkSession, root: str) -> dict[str, int]:
         layers.read_table(spark, root, NF_BRAND), category,
     )
     flat_reviews = staged_reviews(layers.read_table(spark, root, NF_REVIEW), lookups)
-    return {
-        "product": layers.overwrite(flat_products, root, STAGED_PRODUCT),
-        "review": layers.overwrite(flat_reviews, root, STAGED_REVIEW),
-    }
+    counts = layers.publish(root, {STAGED_PRODUCT: flat_products, STAGED_REVIEW: flat_reviews})
+    return {"product": counts[STAGED_PRODUCT], "review": counts[STAGED_REVIEW]}
 
 
 def load_nf_reviews(spark, root, reviews, lookups) -> Inserted:

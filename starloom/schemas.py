@@ -48,6 +48,7 @@ _TYPES = {
     "price": T.DecimalType(10, 2),
     "score": T.DecimalType(6, 4),
     "share": T.DecimalType(18, 16),
+    "sum": T.DecimalType(38, 0),
 }
 
 
@@ -246,7 +247,10 @@ STG_PROFILE = _batch_table("stg_dim_reviewer_profile", DIM_PROFILE, ("reviewer_p
 STG_FACT_EXTRACT = _batch_table("stg_fact_extract", STAGED_REVIEW, ("review_id",))
 STG_FACT_TRANSFORMED = _batch_table("stg_fact_transformed", FACT, ("review_key",))
 
+# What a step of a staged load has reported, as JSON: a restarted load goes on behind it.
+STG_STEPS = Table("batch", "stg_steps", "place int!, step string!, report string!")
+
 BATCH_TABLES = [STG_BRAND, STG_PRODUCT, STG_CUSTOMER, STG_PROFILE, STG_FACT_EXTRACT,
-                STG_FACT_TRANSFORMED]
+                STG_FACT_TRANSFORMED, STG_STEPS]
 RAW_PRODUCT_COLUMNS = RAW_PRODUCT.names
 RAW_REVIEW_COLUMNS = [c for c in RAW_REVIEW.names if c not in ("source_file", "review_length")]

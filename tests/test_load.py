@@ -1,3 +1,5 @@
+import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
@@ -5,11 +7,11 @@ from conftest import ATTRIBUTES, frame, product, review, rows
 from pyspark.sql import functions as F
 
 from starloom.operators.quality import ConstraintError, DataQualityError
-from starloom.plans import clean, load, normalize, views
+from starloom.plans import clean, dimensions, load, normalize, views
 from starloom.plans.star import read_star
 from starloom.schemas import (
     BATCH_TABLES, DIM_PRODUCT, FACT, NF_REVIEW, RAW_PRODUCT, RAW_REVIEW, STAGED_PRODUCT, STAGED_REVIEW,
-    STG_BRAND,
+    STG_BRAND, STG_CUSTOMER, STG_PRODUCT, STG_PROFILE,
 )
 from starloom.session import scratch_path
 from starloom.sources import csv_files, layers
@@ -219,28 +221,153 @@ def test_raw_tables_change_together_or_not_at_all(spark, source_files):
     assert layers.read_table(spark, root, RAW_REVIEW).count() == 2
 
 
-def test_a_commit_that_fails_keeps_the_table(spark, monkeypatch):
+def test_a_publication_that_fails_keeps_the_table(spark, monkeypatch):
     root = warehouse(spark)
 
     def refuse(*_):
         raise OSError("store is full")
 
     with monkeypatch.context() as patched:
-        patched.setattr(layers, "_commit", refuse)
+        patched.setattr(layers, "_swap", refuse)
         with pytest.raises(OSError):
             layers.overwrite(frame(spark, STAGED_REVIEW, REVIEWS[:1]), root, STAGED_REVIEW)
     assert layers.read_table(spark, root, STAGED_REVIEW).count() == 5
+    assert len(os.listdir(f"{root}/staging/review")) == 1
 
 
-def test_an_unfinished_commit_file_is_passed_over(spark):
+def test_two_hundred_rounds_of_four_publishers_lose_nothing(spark):
+    root = scratch_path(spark, "rounds")
+    tables = [STG_BRAND, STG_CUSTOMER, STG_PRODUCT, STG_PROFILE]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for i in range(200):
+            given = [layers.Version(t, f"v-{i}-{t.name}", 1) for t in tables]
+            list(pool.map(lambda v: layers.put_in_force(spark, root, [v], keep=True), given))
+            if i % 50 == 49:
+                state = layers._state(spark, root, "batch")["now"]
+                assert state == {t.name: [f"v-{k}-{t.name}" for k in range(i + 1)] for t in tables}
+    assert os.listdir(f"{root}/batch") == [layers.POINTER]
+
+
+def test_the_pointer_is_replaced_through_the_file_system_too(spark, monkeypatch):
+    root = scratch_path(spark, "rename")
+    monkeypatch.setattr(layers, "_swap", layers._swap_by_rename)
+    for rows in (REVIEWS, REVIEWS[:2], REVIEWS[:3]):
+        layers.overwrite(frame(spark, STAGED_REVIEW, rows), root, STAGED_REVIEW)
+        assert layers.read_table(spark, root, STAGED_REVIEW).count() == len(rows)
+
+
+def test_readers_of_the_version_before_still_find_it(spark):
     root = warehouse(spark)
-    folder = f"{root}/staging/{layers.COMMITS}"
-    files, at = layers._files(spark, f"{folder}/{99:012d}.json")
-    files.create(at, False).close()
-    assert layers.read_table(spark, root, STAGED_REVIEW).count() == 5
+    held = layers.read_table(spark, root, STAGED_REVIEW)
     layers.overwrite(frame(spark, STAGED_REVIEW, REVIEWS[:2]), root, STAGED_REVIEW)
-    assert layers.read_table(spark, root, STAGED_REVIEW).count() == 2
-    assert layers.read_table(spark, root, STAGED_PRODUCT).count() == 2
+    assert held.count() == 5 and layers.read_table(spark, root, STAGED_REVIEW).count() == 2
+    layers.overwrite(frame(spark, STAGED_REVIEW, REVIEWS[:1]), root, STAGED_REVIEW)
+    assert len(os.listdir(f"{root}/staging/review")) == 2
+
+
+def test_dimensions_are_put_in_force_together_or_not_at_all(spark, monkeypatch):
+    root = warehouse(spark)
+    monkeypatch.setattr(dimensions, "run_quality_checks", lambda *_: (_ for _ in ()).throw(DataQualityError("no")))
+    with pytest.raises(DataQualityError):
+        load.run_load(spark, root, inc.FULL)
+    for table in dimensions.STAR_TABLES:
+        assert layers.read_table(spark, root, table).count() == 0
+        assert not os.path.exists(f"{root}/dw/{table.name}") or os.listdir(f"{root}/dw/{table.name}") == []
+
+
+def test_an_append_that_dies_leaves_the_facts_as_they_were(spark, monkeypatch):
+    root = warehouse(spark)
+    load.run_load(spark, root, inc.HISTORICAL)
+    with monkeypatch.context() as patched:
+        patched.setattr(layers, "put_in_force", lambda *_, **__: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            load.run_load(spark, root, inc.FULL)
+    assert layers.read_table(spark, root, FACT).count() == 3
+    assert load.run_load(spark, root, inc.FULL)["rows_inserted"] == 2
+
+
+def test_day_digests_follow_every_write(spark):
+    root = warehouse(spark)
+    load.run_load(spark, root, inc.HISTORICAL)
+    load.run_load(spark, root, inc.INCREMENTAL)
+    for table in (STAGED_REVIEW, FACT):
+        kept = rows(layers.read_days(spark, root, table), "day", "rows", "keys")
+        assert kept == rows(layers.day_digests(layers.read_table(spark, root, table), table), "day", "rows", "keys")
+    assert inc.read_watermark(spark, root) == date(2023, 2, 1)
+    assert inc.unsettled_days(spark, root, date(2023, 2, 1)) == []
+
+
+def test_an_incremental_run_without_late_rows_opens_no_earlier_month(spark, monkeypatch):
+    root = warehouse(spark)
+    load.run_load(spark, root, inc.HISTORICAL)
+    opened = []
+    monkeypatch.setattr(layers, "read_on_days", lambda *a: opened.append(a))
+    assert inc.late_candidates(spark, root, date(2022, 12, 31)) is None and opened == []
+
+
+def test_late_rows_open_their_months_alone(spark):
+    root = warehouse(spark)
+    load.run_load(spark, root, inc.FULL)
+    late = [*REVIEWS, review(6, "P1", "A1", date(2022, 5, 1))]
+    layers.overwrite(frame(spark, STAGED_REVIEW, late), root, STAGED_REVIEW)
+    assert inc.unsettled_days(spark, root, date(2023, 2, 1)) == [date(2022, 5, 1)]
+    found = inc.late_candidates(spark, root, date(2023, 2, 1))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("(_month#") >= 2 and plan.count("= 2022-05)") + plan.count("IN (2022-05)") >= 2
+    assert rows(found, "source_row_id") == [(6,)]
+    # A review whose date changed still meets its fact: both days are opened.
+    moved = [*REVIEWS[:2], review(3, "P1", "A2", date(2022, 12, 30), 1), *REVIEWS[3:]]
+    layers.overwrite(frame(spark, STAGED_REVIEW, moved), root, STAGED_REVIEW)
+    assert len(inc.unsettled_days(spark, root, date(2023, 2, 1))) == 2
+    assert inc.late_candidates(spark, root, date(2023, 2, 1)).count() == 0
+
+
+def test_a_failed_staging_keeps_the_batch(spark):
+    root = scratch_path(spark, "batch")
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "brand_id int, brand_name string")
+    layers.stage_batch(good, root, STG_BRAND, "x")
+    layers.stage_batch(good.where("brand_id = 1"), root, STG_BRAND, "y")
+    broken = spark.range(50).select(F.when(F.col("id") > 40, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast(
+        "int").alias("brand_id"), F.lit("c").alias("brand_name"))
+    with pytest.raises(Exception, match="no"):
+        layers.stage_batch(broken, root, STG_BRAND, "x")
+    assert layers.read_batch(spark, root, STG_BRAND, "x").count() == 2
+    assert layers.stage_batch(good.where("brand_id = 2"), root, STG_BRAND, "x") == 1
+    assert layers.read_batch(spark, root, STG_BRAND, "y").count() == 1
+
+
+class Killed(BaseException):
+    """The driver is gone: nothing after it runs."""
+
+
+def test_a_load_killed_after_every_step_repeats_none(spark, monkeypatch):
+    root, whole = warehouse(spark), warehouse(spark)
+    wanted = load.run_staged_load(spark, whole, "b", inc.FULL)
+    work, ran = dict(load.STEPS), []
+
+    def watched(name):
+        def run(given):
+            if ran and ran[-1] is not None:  # one step a life
+                ran.append(None)
+                raise Killed
+            ran.append(name)
+            return work[name](given)
+        return run
+
+    monkeypatch.setattr(load, "STEPS", {name: watched(name) for name in work})
+    for _ in range(len(work) - 1):
+        with pytest.raises(Killed):
+            load.run_staged_load(spark, root, "b", inc.FULL)
+    assert load.run_staged_load(spark, root, "b", inc.FULL) == wanted
+    assert [name for name in ran if name] == list(work)
+    assert load.finished_steps(spark, root, "b") == {}
+
+
+def test_a_step_needs_those_before_it(spark):
+    root = warehouse(spark)
+    with pytest.raises(ValueError, match="needs brand"):
+        load.run_step(spark, root, "b", "customer")
+    assert load.run_step(spark, root, "b", "brand") == load.run_step(spark, root, "b", "brand") == {"brand_inserted": 2}
 
 
 def test_registered_views_follow_a_load_and_run_nothing(spark):
