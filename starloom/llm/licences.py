@@ -8,8 +8,9 @@ the norm of the shared part), so lines without such a word are not scored.
 
 Lines are compared with the notices of ``TEMPLATES``. Words of consecutive lines, in windows of a
 template's length that start every eighth of it, and whole files are compared with those and with
-``BLOCKS``: headers, full texts of the short licences, openings of the long ones. Only files, and
-then windows, that hold enough of a template's weight to reach the threshold are scored.
+``BLOCKS``: headers, full texts of the short licences, openings of the long ones. Only files that
+hold enough of a template's weight to reach the threshold are scored. Scores are computed inside
+the row, from words coded as numbers: no word of a line or window is shuffled.
 Templates of fewer than ``LEAST_WINDOW`` words are compared with lines and files alone. A match of
 ``LONG`` words or more comes before a shorter one.
 
@@ -178,83 +179,115 @@ def _words(text):
 
 
 def _literals(rows: list[tuple], schema: str):
-    """A small frame out of literals, at most one row per word of the templates."""
+    """A small frame out of literals, one row per template."""
     from pyspark.sql import SparkSession
 
     names = [c.split()[0] for c in schema.split(",")]
-    structs = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in rows))
+    structs = F.array(*(F.struct(*(
+        (F.array(*map(F.lit, v)).cast("array<long>") if isinstance(v, list) else F.lit(v)).alias(n)
+        for n, v in zip(names, row))) for row in rows))
     return SparkSession.getActiveSession().range(1).select(F.inline(structs))
 
 
-def _scored(units: DataFrame, place: list[str], idf: dict[str, float], weights: list[tuple], files: int) -> DataFrame:
-    """Cosine of each unit (``place``, words) with each template that it shares a word with."""
-    idf_rows = _literals(sorted(idf.items()), "word string, idf double")
-    counted = units.select(*place, F.explode("words").alias("word")) \
-        .groupBy(*place, "word").agg(F.count("*").alias("n")).join(F.broadcast(idf_rows), "word", "left") \
-        .withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(math.log(1 + files) + 1)))
-    counted = stored(counted.select(*place, "word", "weight"))
-    norms = counted.groupBy(*place).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    template_rows = _literals(weights, "template int, licence string, word string, value double")
-    products = counted.join(F.broadcast(template_rows), "word").groupBy(*place, "template", "licence").agg(
-        F.sum(F.col("weight") * F.col("value")).alias("product"))
-    return products.join(norms, place).withColumn("score", F.round(F.col("product") / F.col("norm"), 6))
+def _table(values: list, kind: str):
+    """A constant array, looked up by position."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
+def _coded(words, vocabulary_):
+    """Words as numbers: the place in the vocabulary, from 1 on, or a negative hash outside it."""
+    return F.transform(words, lambda w: F.coalesce(
+        F.nullif(F.array_position(vocabulary_, w), F.lit(0).cast("long")),
+        -1 - F.shiftrightunsigned(F.xxhash64(w), 1)))
+
+
+class _Scorer:
+    """Cosines of coded words with templates, as expressions inside a row."""
+
+    def __init__(self, words: list[str], templates: tuple, files: int, holding: dict[str, int]):
+        idf, self.weights, self.needed = weigh(templates, files, holding)
+        self.other = math.log(1 + files) + 1
+        self.n = len(templates)
+        weight = [idf.get(w, self.other) for w in words]
+        product = [[0.0] * self.n for _ in words]
+        place = {w: i for i, w in enumerate(words)}
+        for t, _, w, value in self.weights:
+            product[place[w]][t] = idf[w] * value
+        self.squares = _table([v * v for v in weight], "array<double>")
+        self.products = _table(product, "array<array<double>>")
+
+    def norm(self, codes):
+        """Length of a unit's vector: a word seen for the k-th time adds 2k - 1 of its squared weight."""
+        start = F.struct(F.lit(0).cast("long").alias("word"), F.lit(0).alias("k"), F.lit(0.0).alias("total"))
+
+        def add(state, c):
+            k = F.when(state["word"] == c, state["k"] + 1).otherwise(1)
+            square = F.when(c > 0, F.element_at(self.squares, c.cast("int"))).otherwise(self.other ** 2)
+            return F.struct(c.alias("word"), k.alias("k"), (state["total"] + square * (2 * k - 1)).alias("total"))
+
+        return F.aggregate(F.array_sort(codes), start, add, lambda state: F.sqrt(state["total"]))
+
+    def matches(self, codes, norm, wanted, threshold: float):
+        """Array of (template, score) of the ``wanted`` templates that reach the threshold."""
+        known = F.filter(codes, lambda c: c > 0)
+
+        def score(t):
+            product = F.aggregate(known, F.lit(0.0), lambda total, c: total + F.get(
+                F.element_at(self.products, c.cast("int")), t))
+            return F.struct(t.alias("template"), F.round(product / norm, 6).alias("score"))
+
+        return F.filter(F.transform(wanted, score), lambda m: m["score"] >= threshold)
+
+
+def _line_matches(docs: DataFrame, scorer: _Scorer, templates: tuple, threshold: float) -> DataFrame:
+    """(path, mark, short, s, licence, licence_words, opening) of files with licence lines."""
+    need = F.array(*(F.lit(c).cast("long") for c in scorer.needed_codes))
+    lines = docs.select("path", "mark", F.posexplode("lines").alias("line", "codes")).where(F.arrays_overlap("codes", need))
+    every = F.sequence(F.lit(0), F.lit(scorer.n - 1))
+    scored = lines.withColumn("norm", scorer.norm(F.col("codes"))).select(
+        "path", "mark", "line", F.size("codes").alias("n"),
+        F.explode(scorer.matches(F.col("codes"), F.col("norm"), every, threshold)).alias("match"))
+    names = F.array(*(F.lit(licence) for licence, _ in templates))
+    best = F.struct((-F.col("match.score")).alias("s"), F.get(names, F.col("match.template")).alias("licence"))
+    # A line of a repeated row counts once.
+    matched = scored.groupBy("path", "mark", "line").agg(F.min(best).alias("best"), F.max("n").alias("n"))
+    return matched.groupBy("path", "mark").agg(F.min("best").alias("best"), F.sum("n").alias("licence_words")).select(
+        "path", "mark", F.lit(1).alias("short"), "best.s", "best.licence", "licence_words", F.lit(False).alias("opening"))
 
 
-def _block_matches(rows: DataFrame, words, blocks: tuple, notices: int, files: int, holding: dict[str, int],
-                   threshold: float) -> DataFrame:
+def _block_matches(docs: DataFrame, scorer: _Scorer, blocks: tuple, notices: int, threshold: float) -> DataFrame:
     """(path, mark, short, s, licence, licence_words, opening) of windows, titles and files that match.
 
-    A cosine is at most the norm of what is shared, which picks the files and then the windows.
+    Units are made and scored inside the row, each against the templates its file may match;
+    only matches leave it.
     """
-    idf, weights, needed = weigh(blocks, files, holding)
-    limit = threshold ** 2 - 1e-9
-    shares: dict[str, list[float]] = {w: [0.0] * len(blocks) for w in idf}
-    for t, _, w, value in weights:
-        shares[w][t] = value * value
     sizes = [len(template_words(text)) for _, text in blocks]
     openings = range(notices, notices + len(OPENINGS))
-    first: list[list[str]] = [[] for _ in blocks]
-    rest = [1.0] * len(blocks)
-    for t, _, w, value in weights:  # by template, the heaviest words first
-        if rest[t] >= limit:
-            first[t].append(w)
-        rest[t] -= value * value
-    shape = F.broadcast(_literals([(t, n, max(1, n // 8), t in openings, " ".join(first[t])) for t, n in enumerate(sizes)],
-                                  "template int, size int, step int, opening boolean, first string"))
-    share_of = F.from_json(F.lit(json.dumps(shares)), "map<string,array<double>>")
-    sums = F.aggregate("held", F.array_repeat(F.lit(0.0), len(blocks)), lambda total, w: F.zip_with(
-        total, F.element_at(share_of, w), lambda a, b: a + b))
-    near = F.filter(F.transform(sums, lambda s, i: F.when(s >= limit, i)), lambda i: i.isNotNull())
-    docs = rows.select("path", "text", F.array_intersect(_words(F.col("text")), words).alias("held")) \
-        .where(F.arrays_overlap("held", F.array(*(F.lit(w) for w in needed)))) \
-        .select("path", "text", near.alias("near")).where(F.size("near") > 0)
-    docs = stored(docs.distinct().select(
-        "path", F.xxhash64("text").alias("mark"), "near",
-        F.transform(F.split("text", "\n"), lambda line: _words(line)).alias("lines")))
-    whole = docs.select("path", "mark", "near", F.flatten("lines").alias("words"))
-
-    # A window needs one of its template's heaviest words; the rest of the filter stays in the row.
-    size, step, template = F.col("size"), F.col("step"), F.col("template")
-    hits = F.filter(F.transform("words", lambda w, at: F.when(F.array_contains("first", w), at)), lambda at: at.isNotNull())
+    shape = F.broadcast(_literals(
+        [(t, n, max(1, n // 8), t in openings, blocks[t][0], scorer.heaviest[t]) for t, n in enumerate(sizes)],
+        "template int, size int, step int, opening boolean, licence string, first array<long>"))
+    docs = docs.where(F.size("near") > 0)
+    whole = docs.select("path", "mark", "near", F.flatten("lines").alias("codes"))
+
+    # A window needs one of its template's heaviest words.
+    size, step = F.col("size"), F.col("step")
+    hits = F.filter(F.transform("codes", lambda c, at: F.when(F.array_contains("first", c), at)), lambda at: at.isNotNull())
     starts = F.array_distinct(F.flatten(F.transform("hits", lambda at: F.sequence(
         F.greatest(F.lit(0).cast("long"), F.floor((at - size) / step) + 1), F.floor(at / step)))))
-    shared = F.aggregate(F.array_intersect("words", words), F.lit(0.0),
-                         lambda total, w: total + F.get(F.element_at(share_of, w), template))
-    windows = whole.select("path", "mark", F.explode("near").alias("template"), "words").join(shape, "template") \
-        .where(size >= LEAST_WINDOW).withColumn("first", F.split("first", " ")).withColumn("hits", hits) \
-        .withColumn("windows", F.transform(starts, lambda k: F.struct(
-            (k * step).cast("int").alias("line"), F.slice("words", (k * step + 1).cast("int"), size).alias("words")))) \
-        .select("path", "mark", "template", "size", F.explode("windows").alias("window")) \
-        .select("path", "mark", "template", "size", "window.line", "window.words").where(shared >= limit)
-    units = windows.select("path", "mark", F.lit("window").alias("kind"), "line", "size", "words").distinct()
+    windows = whole.select("path", "mark", "near", F.explode("near").alias("template"), "codes").join(shape, "template") \
+        .where(size >= LEAST_WINDOW).withColumn("hits", hits) \
+        .select("path", "mark", "near", "size", "step", "codes", F.explode(starts).alias("start")) \
+        .select("path", "mark", F.lit("window").alias("kind"), "near", size.alias("n"),
+                F.slice("codes", (F.col("start") * step + 1).cast("int"), size).alias("codes"))
     titles = docs.where(F.exists("near", lambda t: t.isin([i for i, n in enumerate(sizes) if n < LEAST_WINDOW]))).select(
-        "path", "mark", F.lit("line").alias("kind"), F.posexplode("lines").alias("line", "words")).where(
-        F.size("words").between(1, 2 * LEAST_WINDOW)).withColumn("size", F.size("words"))
-    every = whole.select("path", "mark", F.lit("file").alias("kind"), F.lit(0).alias("line"),
-                         F.size("words").alias("size"), "words")
-    units = stored(units.unionByName(titles).unionByName(every))
-    scored = _scored(units, ["path", "mark", "kind", "line", "size"], idf, weights, files).where(F.col("score") >= threshold)
-    found = scored.withColumnRenamed("size", "n").join(shape, "template") \
+        "path", "mark", "near", F.explode("lines").alias("codes")).where(
+        F.size("codes").between(1, 2 * LEAST_WINDOW)).select(
+        "path", "mark", F.lit("line").alias("kind"), "near", F.size("codes").alias("n"), "codes")
+    every = whole.select("path", "mark", F.lit("file").alias("kind"), "near", F.size("codes").alias("n"), "codes")
+    scored = windows.unionByName(titles).unionByName(every).withColumn("norm", scorer.norm(F.col("codes"))).select(
+        "path", "mark", "kind", "n",
+        F.explode(scorer.matches(F.col("codes"), F.col("norm"), F.col("near"), threshold)).alias("match"))
+    found = scored.select("path", "mark", "kind", "n", "match.template", "match.score").join(shape, "template") \
         .where((F.col("kind") != "window") | (size >= LEAST_WINDOW))
     return found.groupBy("path", "mark").agg(
         F.min(F.struct(F.when(size >= LONG, 0).otherwise(1).alias("short"), (-F.col("score")).alias("s"), "licence")).alias("best"),
@@ -262,6 +295,40 @@ def _block_matches(rows: DataFrame, words, blocks: tuple, notices: int, files: i
             "path", "mark", "best.short", "best.s", "best.licence", "licence_words", "opening")
 
 
+def _candidates(rows: DataFrame, words: list[str], vocabulary_, of_lines: _Scorer, of_blocks: _Scorer,
+                threshold: float) -> DataFrame:
+    """(path, mark, near, lines): files that may match, as coded lines, with the block templates in reach.
+
+    A cosine is at most the norm of what is shared, so a file is near a template only if the
+    words they share carry the squared threshold of the template's weight.
+    """
+    limit = threshold ** 2 - 1e-9
+    place = {w: i for i, w in enumerate(words)}
+    shares = [[0.0] * of_blocks.n for _ in words]
+    of_blocks.heaviest = [[] for _ in range(of_blocks.n)]
+    rest = [1.0] * of_blocks.n
+    for t, _, w, value in of_blocks.weights:  # by template, the heaviest words first
+        shares[place[w]][t] = value * value
+        if rest[t] >= limit:
+            of_blocks.heaviest[t].append(place[w] + 1)
+        rest[t] -= value * value
+    of_lines.needed_codes = [place[w] + 1 for w in of_lines.needed]
+    share_of = _table(shares, "array<array<double>>")
+    sums = F.aggregate("held", F.array_repeat(F.lit(0.0), of_blocks.n), lambda total, w: F.zip_with(
+        total, F.element_at(share_of, F.array_position(vocabulary_, w).cast("int")), lambda a, b: a + b))
+    near = F.filter(F.transform(sums, lambda s, i: F.when(s >= limit, i)), lambda i: i.isNotNull())
+
+    def any_of(scorer):
+        return F.arrays_overlap("held", F.array(*(F.lit(w) for w in scorer.needed)))
+
+    found = rows.select("path", "text", F.array_intersect(_words(F.col("text")), vocabulary_).alias("held"))
+    found = found.where(any_of(of_lines) | any_of(of_blocks)) \
+        .select("path", "text", any_of(of_lines).alias("line"), near.alias("near")).where("line or size(near) > 0")
+    return stored(found.select(
+        "path", F.xxhash64("text").alias("mark"), "near",
+        F.transform(F.split("text", "\n"), lambda line: _coded(_words(line), vocabulary_)).alias("lines")))
+
+
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templates=TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
     """One row per distinct file (path and text): path, mark, licence, score, origin, from_dir.
@@ -275,27 +342,18 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templ
     rows = files.select(F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit("")).alias("path"),
                         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     blocks = (*templates, *BLOCKS)
-    words = F.array(*(F.lit(w) for w in vocabulary(blocks)))
-    held = stored(rows.select("path", F.xxhash64("text").alias("mark"),
-                              F.array_intersect(_words(F.col("text")), words).alias("held")))
+    listed = vocabulary(blocks)
+    words = F.array(*(F.lit(w) for w in listed))
+    split = _words(F.col("text"))
+    held = stored(rows.select("path", F.xxhash64("text").alias("mark"), F.size(split).alias("words"),
+                              F.array_intersect(split, words).alias("held")))
     holding = {r["word"]: r["n"] for r in held.select(F.explode("held").alias("word")).groupBy("word")
                .agg(F.count("*").alias("n")).collect()}
     files = held.count()
-    idf, weights, needed = weigh(templates, files, holding)
-    need = F.array(*(F.lit(w) for w in needed))
-
-    lines = (rows.select("path", F.xxhash64("text").alias("mark"), "text")
-             .select("path", "mark", F.posexplode(F.split("text", "\n")).alias("line", "body"))
-             .select("path", "mark", "line", _words(F.col("body")).alias("words"))
-             .where(F.arrays_overlap("words", need)))
-    lines = stored(lines.distinct())
-    place = ["path", "mark", "line"]
-    scored = _scored(lines, place, idf, weights, files).where(F.col("score") >= threshold)
-    per_line = scored.groupBy(*place).agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("best"))
-    matched = per_line.join(lines.select(*place, F.size("words").alias("n")), place)
-    by_line = matched.groupBy("path", "mark").agg(F.min("best").alias("best"), F.sum("n").alias("licence_words")).select(
-        "path", "mark", F.lit(1).alias("short"), "best.s", "best.licence", "licence_words", F.lit(False).alias("opening"))
-    by_block = _block_matches(rows, words, blocks, len(templates), files, holding, threshold)
+    of_lines, of_blocks = _Scorer(listed, templates, files, holding), _Scorer(listed, blocks, files, holding)
+    docs = _candidates(rows, listed, words, of_lines, of_blocks, threshold)
+    by_line = _line_matches(docs, of_lines, templates, threshold)
+    by_block = _block_matches(docs, of_blocks, blocks, len(templates), threshold)
     own = stored(by_line.unionByName(by_block).groupBy("path", "mark").agg(
         F.min(F.struct("short", "s", "licence")).alias("best"), F.max("licence_words").alias("licence_words"),
         F.max("opening").alias("opening")).select(
@@ -303,9 +361,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templ
             "licence_words", "opening"))
 
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
-    sizes = rows.select("path", F.xxhash64("text").alias("mark"), "text").join(
-        own.select("path", "mark"), ["path", "mark"], "left_semi").select(
-        "path", "mark", F.size(_words(F.col("text"))).alias("words")).distinct()
+    sizes = held.select("path", "mark", "words").distinct()
     licence_files = own.join(sizes, ["path", "mark"]).where(
         F.element_at(F.split("path", "/"), -1).rlike(FILE_NAMES) | F.col("opening")
         | (F.col("licence_words") >= FILE_SHARE * F.col("words")))
