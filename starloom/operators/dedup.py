@@ -9,33 +9,36 @@ from starloom.operators.joins import lookup_join
 from starloom.session import cut_lineage
 
 
-def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+def keep_first(df: DataFrame, key: list[str], order: list[str], stored: bool = False) -> DataFrame:
     """Keep the row that comes first by ``order`` among rows with an equal key; exactly one.
 
     Null keys are equal to each other; of rows that tie on ``order`` the one with the least
-    row hash stays, and of rows equal in every column any. Only the key, the order columns
-    and the hash are aggregated, with partial results before each shuffle, and only keys that
-    occur more than once reach the join; wide rows stay where they are unless repeated keys
-    are too many to broadcast or the first row itself has exact copies.
+    row hash stays, and of rows equal in every column any. The rows are written once, unless
+    ``stored`` says they already are, so their source is read once; then one narrow pass
+    counts the keys, with partial results before the shuffle, and only keys that occur more
+    than once reach the join of the wide pass. Wide rows stay where they are unless repeated
+    keys are too many to broadcast; only rows that tie are hashed and shuffled.
     """
-    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_hash")
-    levels = df.select(*key, *[F.col(c).alias(f"_first_{c}") for c in order], hashed) \
-        .groupBy(*key, *[f"_first_{c}" for c in order], "_hash").agg(F.count(F.lit(1)).alias("_copies"))
+    frame = df if stored else cut_lineage(df)
+    levels = frame.groupBy(*key, *[F.col(c).alias(f"_first_{c}") for c in order]).agg(F.count(F.lit(1)).alias("_copies"))
     first = levels.groupBy(*key).agg(
         F.sum("_copies").alias("_n"),
-        F.min(F.struct(*[f"_first_{c}" for c in order], F.col("_hash").alias("_first_hash"), "_copies")).alias("_first"),
+        F.min(F.struct(*[f"_first_{c}" for c in order], "_copies")).alias("_first"),
     ).where("_n > 1").select(*key, "_first.*")
     repeated = cut_lineage(first.withColumn("_repeated", F.lit(True)))
-    copied = not repeated.where("_copies > 1").isEmpty()
-    marked = lookup_join(df, repeated, key, null_safe=True)
-    is_first = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) == F.col("_first_hash")
+    tied = not repeated.where("_copies > 1").isEmpty()
+    marked = lookup_join(frame, repeated, key, null_safe=True)
+    is_first = F.lit(True)
     for c in order:
         is_first = is_first & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
-    if not copied:
+    if not tied:
         return marked.where(F.col("_repeated").isNull() | is_first).select(*df.columns)
     alone = F.col("_repeated").isNull() | (is_first & (F.col("_copies") == 1))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    least = marked.where(is_first & (F.col("_copies") > 1)).groupBy(*key).agg(
+        F.min(F.struct(F.xxhash64(*columns).alias("_hash"), *columns)).alias("_row"))
     return marked.where(alone).select(*df.columns).unionByName(
-        marked.where(is_first & (F.col("_copies") > 1)).select(*df.columns).dropDuplicates())
+        least.select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns]))
 
 
 def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
@@ -53,9 +56,14 @@ def require_unique(df: DataFrame, key: list[str], what: str) -> None:
         raise ValueError(f"{what}: {surplus} repeated value(s) of {tuple(key)}")
 
 
+def mixed_keys(df: DataFrame, key: str, value: str) -> int:
+    """How many keys carry several values."""
+    worst = df.groupBy(key).agg(F.min(value).alias("a"), F.max(value).alias("b"))
+    return worst.where("a <> b").count()
+
+
 def require_dependency(df: DataFrame, key: str, value: str, what: str) -> None:
     """Every ``key`` must carry a single ``value``."""
-    worst = df.groupBy(key).agg(F.min(value).alias("a"), F.max(value).alias("b"))
-    mixed = worst.where("a <> b").count()
+    mixed = mixed_keys(df, key, value)
     if mixed:
         raise ValueError(f"{what}: {mixed} {key} value(s) map to several {value} values")

@@ -628,6 +628,17 @@ _add("ingest_counts", """
   UNION ALL SELECT 'repeated', p, r FROM n UNION ALL SELECT 'appended', p + few, r + five FROM n""", n="""
   SELECT (SELECT count(*) FROM part) AS p, (SELECT count(*) FROM kept) AS r,
          (SELECT count(*) FROM part WHERE p_size % 4 = 1) AS few, (SELECT count(*) FROM kept WHERE rating = 5) AS five""")
+_add("layer_presence", """
+  SELECT 'staging.product' AS table_name, true AS present, (SELECT count(*) FROM part) AS rows
+  UNION ALL SELECT name, false, NULL FROM (VALUES ('staging.review'), ('raw.reviews'), ('dw.dim_customer')) t(name)""")
+_add("preconditions", """
+  SELECT precondition, broken, broken > 0 AS refused FROM (
+    SELECT 'unique customer' AS precondition, count(*) - count(DISTINCT c_custkey) AS broken FROM customer
+    UNION ALL SELECT 'unique lineitem', count(*) - count(DISTINCT l_orderkey) FROM lineitem
+    UNION ALL SELECT 'dependency part', count(*) FILTER (n > 1)
+      FROM (SELECT count(DISTINCT p_brand) AS n FROM part GROUP BY p_partkey)
+    UNION ALL SELECT 'dependency orders', count(*) FILTER (n > 1)
+      FROM (SELECT count(DISTINCT o_orderstatus) AS n FROM orders GROUP BY o_custkey))""")
 _add("stored_layer_counts", " UNION ALL ".join(
     f"SELECT CAST({landing} AS BIGINT) AS landing, '{n}' AS table_name, {text} AS rows"
     for landing in (1, 2) for n, text in _layer_rows.items()))

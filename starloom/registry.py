@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import quality, upsert
-from starloom.operators.dedup import keep_first, repeated_keys
+from starloom.operators.dedup import keep_first, mixed_keys, repeated_keys, require_dependency, require_unique
 from starloom.operators.keys import number_rows, with_percent_rank
 from starloom.plans import (
     clean, dimensions, fact, load, normalize, profiling, reports, validation, views,
@@ -162,33 +162,55 @@ def _orphan_total(spark, folder):
     return validation.orphan_total(_star_with_gaps(spark, folder))
 
 
-def _layers(spark, folder) -> dict[str, DataFrame]:
-    """The reviews and the catalogue at every layer, from their uncleaned text."""
-    products = cut_lineage(
-        clean.type_products(clean.distinct_products(mapped.raw_catalogue(spark, folder))))
-    reviews = cut_lineage(clean.type_reviews(clean.distinct_reviews(mapped.raw_reviews(spark, folder))))
-    category = number_rows(normalize.categories(products), "category_id")
-    lookups = {
-        a: number_rows(normalize.attribute_values(reviews, a), f"{a}_id")
-        for a in PROFILE_ATTRIBUTES
-    }
-    nf_review = normalize.nf_reviews(reviews, lookups).withColumn("review_id", F.col("source_row_id"))
-    brand = normalize.brands(products)
-    nf_product = normalize.nf_products(products, category)
-    return {
-        "raw.product_info": products, "raw.reviews": reviews,
-        "nf.brand": brand, "nf.category": category, "nf.product": nf_product,
-        "nf.author": normalize.authors(reviews),
-        **{f"nf.{a}": df for a, df in lookups.items()},
-        "nf.review": nf_review,
-        "staging.product": normalize.staged_products(nf_product, brand, category),
-        "staging.review": normalize.staged_reviews(nf_review, lookups),
-    }
+class _Layers(dict):
+    """The reviews and the catalogue at every layer, from their uncleaned text; made when asked for."""
+
+    NAMES = ["raw.product_info", "raw.reviews", "nf.brand", "nf.category", "nf.product", "nf.author",
+             *[f"nf.{a}" for a in PROFILE_ATTRIBUTES], "nf.review", "staging.product", "staging.review"]
+
+    def __init__(self, spark, folder):
+        super().__init__()
+        self.source = spark, folder
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = made = self._make(name)
+        return made
+
+    def _make(self, name: str) -> DataFrame:
+        lookups = PROFILE_ATTRIBUTES if name in ("nf.review", "staging.review") else []
+        lookups = {a: self[f"nf.{a}"] for a in lookups}
+        match name:
+            case "raw.product_info":
+                return cut_lineage(clean.type_products(clean.distinct_products(mapped.raw_catalogue(*self.source))))
+            case "raw.reviews":
+                return cut_lineage(clean.type_reviews(clean.distinct_reviews(mapped.raw_reviews(*self.source))))
+            case "nf.brand":
+                return normalize.brands(self["raw.product_info"])
+            case "nf.category":
+                return number_rows(normalize.categories(self["raw.product_info"]), "category_id")
+            case "nf.product":
+                return normalize.nf_products(self["raw.product_info"], self["nf.category"])
+            case "nf.author":
+                return normalize.authors(self["raw.reviews"])
+            case "nf.review":
+                found = normalize.nf_reviews(self["raw.reviews"], lookups)
+                return found.withColumn("review_id", F.col("source_row_id"))
+            case "staging.product":
+                return normalize.staged_products(self["nf.product"], self["nf.brand"], self["nf.category"])
+            case "staging.review":
+                return normalize.staged_reviews(self["nf.review"], lookups)
+        attribute = name.removeprefix("nf.")
+        return number_rows(normalize.attribute_values(self["raw.reviews"], attribute), f"{attribute}_id")
+
+
+def _layers(spark, folder) -> _Layers:
+    return _Layers(spark, folder)
 
 
 @query("layer_counts")
 def _layer_counts(spark, folder):
-    return validation.layer_counts(_layers(spark, folder), {"nf.brand": 25})
+    at = _layers(spark, folder)
+    return validation.layer_counts({name: at[name] for name in at.NAMES}, {"nf.brand": 25})
 
 
 @query("layer_gaps")
@@ -572,6 +594,46 @@ def _ingest_counts(spark, folder):
     return found
 
 
+@query("layer_presence")
+def _layer_presence(spark, folder):
+    """What a reader finds of a warehouse that holds its catalogue and nothing else yet."""
+    root = scratch_path(spark, "presence")
+    layers.overwrite(mapped.catalogue(spark, folder), root, STAGED_PRODUCT)
+    found = None
+    for table in (STAGED_PRODUCT, STAGED_REVIEW, RAW_REVIEW, DIM_CUSTOMER):
+        held = layers.read_if_present(spark, root, table)
+        one = spark.range(1).select(F.lit(None).cast("long").alias("rows")) if held is None else held.agg(
+            F.count(F.lit(1)).alias("rows"))
+        one = one.select(F.lit(f"{table.layer}.{table.name}").alias("table_name"),
+                         F.lit(held is not None).alias("present"), "rows")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query("preconditions")
+def _preconditions(spark, folder):
+    """Uniqueness and dependency asked of keys that keep them and of keys that do not."""
+    def refused(check, *given) -> bool:
+        try:
+            check(*given)
+        except ValueError:
+            return True
+        return False
+
+    rows = {n: mapped.table(spark, folder, n) for n in ("customer", "lineitem", "part", "orders")}
+    asked = [("customer", ["c_custkey"], None), ("lineitem", ["l_orderkey"], None),
+             ("part", ["p_partkey"], "p_brand"), ("orders", ["o_custkey"], "o_orderstatus")]
+    found = []
+    for name, key, value in asked:
+        if value is None:
+            found.append((f"unique {name}", repeated_keys(rows[name], key).first().surplus_rows,
+                          refused(require_unique, rows[name], key, name)))
+        else:
+            found.append((f"dependency {name}", mixed_keys(rows[name], key[0], value),
+                          refused(require_dependency, rows[name], key[0], value, name)))
+    return spark.createDataFrame(found, "precondition string, broken long, refused boolean")
+
+
 @query("stored_layer_counts")
 def _stored_layers(spark, folder):
     """Files to raw, nf and staging on disk, twice: rows of every stored table after each landing."""
