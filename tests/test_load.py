@@ -48,6 +48,9 @@ def test_modes_partition_and_repeat_safely(spark):
     assert after[:3] == keys and len({k for _, k in after}) == 5
 
     # Nothing is left to load: an empty batch is a clean run.
+    nothing = load.run_load(spark, root, inc.INCREMENTAL)
+    assert set(nothing) == set(second) and nothing["watermark_after"] == nothing["watermark"] == "2023-02-01"
+    assert [nothing[c] for c in nothing if c.startswith(("rows_", "dropped_"))] == [0] * 11
     empty = load.run_staged_load(spark, root, "scheduled__2026-01-01T00:00:00+00:00", inc.INCREMENTAL)
     assert (empty["rows_extracted"], empty["rows_inserted"]) == (0, 0)
     assert layers.read_if_present(spark, root, RAW_REVIEW) is None
