@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import lookup_join
 from starloom.session import cut_lineage
 
 PAGE_BITS = 16
@@ -53,3 +54,27 @@ def with_percent_rank(df: DataFrame, value: str, name: str, scale: int = 1) -> D
     ranked = df.withColumn("_code", code).join(below, F.col("_code") == F.col("_on"), "left")
     rank = F.when(total > 1, F.coalesce("_less", known) / (total - 1)).otherwise(0.0)
     return ranked.withColumn(name, rank).drop("_code", "_on", "_less")
+
+
+def with_rank_fraction(df: DataFrame, value: str, name: str) -> DataFrame:
+    """percent_rank() of any orderable ``value`` over all rows, unrounded; nulls come last.
+
+    Rows are counted per distinct value, so a hot value is one row from there on. The distinct
+    values are dealt into ranges and stored with the number of their range; a window inside a
+    range and prefix sums over the ranges' totals say how many rows lie below a value. No range
+    holds more than its share of the distinct values. Runs jobs at once, unlike
+    ``with_percent_rank``; ``df`` is read more than once: pass a stored frame if it is costly.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = cut_lineage(counts.repartitionByRange(value).withColumn("_range", F.spark_partition_id()))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_range").agg(F.sum("_n").alias("_range_n")).select(
+        "_range", F.coalesce(F.sum("_range_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    below = ranged.withColumn("_below", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(
+        F.broadcast(starts), "_range").select(value, (F.col("_start") + F.col("_below")).alias("_less"))
+    sizes = df.agg(F.count(F.lit(1)).alias("all"), F.count(value).alias("known")).first()
+    ranked = lookup_join(df, cut_lineage(below), [value])
+    whole = F.lit(max(sizes["all"] - 1, 1))
+    rank = F.coalesce("_less", F.lit(sizes["known"])) / whole if sizes["all"] > 1 else F.lit(0.0)
+    return ranked.withColumn(name, rank).drop("_less")

@@ -628,6 +628,11 @@ _add("ingest_counts", """
   UNION ALL SELECT 'repeated', p, r FROM n UNION ALL SELECT 'appended', p + few, r + five FROM n""", n="""
   SELECT (SELECT count(*) FROM part) AS p, (SELECT count(*) FROM kept) AS r,
          (SELECT count(*) FROM part WHERE p_size % 4 = 1) AS few, (SELECT count(*) FROM kept WHERE rating = 5) AS five""")
+_add("rank_fractions", """
+  SELECT o_orderkey, percent_rank() OVER (ORDER BY CAST(o_totalprice AS DECIMAL(18,2))) AS price_rank,
+         percent_rank() OVER (ORDER BY CAST(o_orderdate AS DATE)) AS day_rank,
+         percent_rank() OVER (ORDER BY CASE WHEN o_orderstatus <> 'O' THEN o_orderpriority END NULLS LAST) AS priority_rank
+  FROM orders""")
 _add("layer_presence", """
   SELECT 'staging.product' AS table_name, true AS present, (SELECT count(*) FROM part) AS rows
   UNION ALL SELECT name, false, NULL FROM (VALUES ('staging.review'), ('raw.reviews'), ('dw.dim_customer')) t(name)""")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import quality, upsert
 from starloom.operators.dedup import keep_first, mixed_keys, repeated_keys, require_dependency, require_unique
-from starloom.operators.keys import number_rows, with_percent_rank
+from starloom.operators.keys import number_rows, with_percent_rank, with_rank_fraction
 from starloom.plans import (
     clean, dimensions, fact, load, normalize, profiling, reports, validation, views,
 )
@@ -594,6 +594,17 @@ def _ingest_counts(spark, folder):
     return found
 
 
+@query("rank_fractions")
+def _rank_fractions(spark, folder):
+    """Orders ranked by price, by day and by priority; that of open orders is unknown."""
+    orders = cut_lineage(mapped.table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"), F.to_date("o_orderdate").alias("day"),
+        F.when(F.col("o_orderstatus") != "O", F.col("o_orderpriority")).alias("priority")))
+    for value in ("price", "day", "priority"):
+        orders = with_rank_fraction(orders, value, f"{value}_rank")
+    return orders.select("o_orderkey", "price_rank", "day_rank", "priority_rank")
+
+
 @query("layer_presence")
 def _layer_presence(spark, folder):
     """What a reader finds of a warehouse that holds its catalogue and nothing else yet."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_first
 from starloom.operators.joins import hot_keys, lookup_join, without_matches
-from starloom.operators.keys import with_percent_rank
+from starloom.operators.keys import with_percent_rank, with_rank_fraction
 
 
 def skewed(spark, n=6000):
@@ -93,3 +93,15 @@ def test_percent_rank_puts_nulls_last(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 7), (4, 9), (5, None)], "id int, v int")
     naive = df.withColumn("p", F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_last())))
     assert rows(with_percent_rank(df, "v", "p"), "id", "p") == rows(naive, "id", "p")
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("double", [0.5, -0.0, 0.0, float("nan"), None, 1e300, -1e300] + [2.5] * 40),
+    ("date", ["2020-02-29", None, "1999-12-31", "2020-02-29"]), ("decimal(38,18)", ["0.000000000000000001", "1e9", None]),
+    ("string", ["b", "a", "", None, "a"]), ("long", [7]), ("long", [None, None]), ("long", [])])
+def test_rank_fraction_equals_the_window_form(spark, kind, values):
+    df = spark.createDataFrame([(i, None if v is None else str(v)) for i, v in enumerate(values)], "i long, text string")
+    df = df.select("i", F.col("text").cast(kind).alias("v"))
+    window = Window.orderBy(F.col("v").asc_nulls_last())
+    wanted = df.select("i", F.percent_rank().over(window).alias("r")).orderBy("i").collect()
+    assert with_rank_fraction(df, "v", "r").select("i", "r").orderBy("i").collect() == wanted
