@@ -1,12 +1,15 @@
 """Document fingerprints: threshold-scaled sketches of five-word shingles.
 
-Every shingle hash (48 bits) below a fixed share of the hash range is kept. A document with
-few of them keeps its ``LEAST_KEPT`` smallest hashes instead, which is the same rule under a
-higher threshold of its own. Two sketches are compared below the lower threshold, where both
-are complete, so likeness and containment need no common size and sketches can be merged.
-
-Text form: 12 hex digits of the threshold, ``:``, then base64 of the hashes, ascending, six
-bytes each, most significant first.
+One rule for every text: each shingle hash (48 bits) below a fixed share of the hash range is
+kept, and the ``LEAST`` smallest hashes are kept as well, so that short texts can be compared
+too. The rule looks at hashes only, so sketches of one rule merge into the sketch of both
+texts' shingles together. A sketch is complete below its ``reach``: the share's limit, or
+beyond it as far as the least hashes go. Two sketches are compared below the lower reach, so
+likeness and containment need no common size. With m hashes of both texts compared, a likeness
+J is off by about sqrt(J (1 - J) / m); texts of fewer than ``LEAST`` shingles are held whole.
+
+Text form: 12 hex digits of the limit, 4 of the number of least hashes, ``:``, then base64 of
+the hashes, ascending, six bytes each, most significant first.
 """
 
 from __future__ import annotations
@@ -20,57 +23,58 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import LEAST, as_batch, in_tasks, pieces_of
+from starloom.llm.common import LEAST as NO_ID
+from starloom.llm.common import as_batch, in_tasks, pieces_of
 from starloom.llm.words import find_words, shingles
 
 WORDS = 5
-SHARE = 1 / 8
-LEAST_KEPT = 128
+SHARE = 1 / 2
+LEAST = 32
 _RANGE = 1 << 48
 
 
 class Sketch(NamedTuple):
     limit: int
-    hashes: np.ndarray  # ascending, all below limit
+    least: int
+    hashes: np.ndarray  # distinct, ascending: all below limit and the least ones
+
+    @property
+    def reach(self) -> int:
+        """Every hash of the text below this one is kept."""
+        if len(self.hashes) < self.least:
+            return _RANGE
+        return max(self.limit, int(self.hashes[-1]) + 1) if self.least else self.limit
+
+
+def _kept(hashes: np.ndarray, limit: int, least: int) -> Sketch:
+    return Sketch(limit, least, hashes[:max(least, int(hashes.searchsorted(limit)))])
 
 
-def sketch(hashes: np.ndarray, share: float = SHARE, least: int = LEAST_KEPT) -> Sketch:
-    limit = int(share * _RANGE)
-    kept = np.unique(hashes[hashes < limit])
-    if len(kept) >= least:
-        return Sketch(limit, kept)
-    kept = np.unique(hashes)
-    if len(kept) <= least:
-        return Sketch(_RANGE, kept)
-    return Sketch(int(kept[least]), kept[:least])
+def sketch(hashes: np.ndarray, share: float = SHARE, least: int = LEAST) -> Sketch:
+    return _kept(np.unique(hashes), int(share * _RANGE), least)
 
 
-def sketches(texts: list[str], share: float = SHARE, least: int = LEAST_KEPT) -> list[Sketch]:
+def sketches(texts: list[str], share: float = SHARE, least: int = LEAST) -> list[Sketch]:
     values, first = shingles(find_words(pa.array(texts, pa.large_string())), WORDS)
     values = values >> np.uint64(16)
     return [sketch(values[a:b], share, least) for a, b in zip(first, first[1:])]
 
 
 def merged(a: Sketch, b: Sketch) -> Sketch:
-    """The sketch of both documents' shingles together."""
-    limit = min(a.limit, b.limit)
-    both = np.union1d(a.hashes, b.hashes)
-    return Sketch(limit, both[both < limit])
+    """The sketch of both texts' shingles together, under the narrower rule if theirs differ."""
+    return _kept(np.union1d(a.hashes, b.hashes), min(a.limit, b.limit), min(a.least, b.least))
 
 
 def _shared(a: Sketch, b: Sketch) -> tuple[int, int, int]:
-    limit = min(a.limit, b.limit)
-    x = a.hashes[:a.hashes.searchsorted(limit)]
-    y = b.hashes[:b.hashes.searchsorted(limit)]
+    reach = min(a.reach, b.reach)
+    x, y = (s.hashes[:s.hashes.searchsorted(reach)] for s in (a, b))
     return len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)
 
 
 def likeness(a: Sketch, b: Sketch) -> float:
     """Estimated share of common shingles (Jaccard); 1 for two empty texts, 0 for one."""
     common, x, y = _shared(a, b)
-    if x + y == 0:
-        return float(len(a.hashes) == len(b.hashes))
-    return common / (x + y - common)
+    return common / (x + y - common) if x + y else 1.0
 
 
 def containment(a: Sketch, b: Sketch) -> float:
@@ -81,14 +85,14 @@ def containment(a: Sketch, b: Sketch) -> float:
 
 def to_string(s: Sketch) -> str:
     raw = s.hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
-    return f"{s.limit:012x}:{base64.b64encode(raw).decode()}"
+    return f"{s.limit:012x}{s.least:04x}:{base64.b64encode(raw).decode()}"
 
 
 def from_string(text: str) -> Sketch:
-    raw = np.frombuffer(base64.b64decode(text[13:]), np.uint8).reshape(-1, 6)
+    raw = np.frombuffer(base64.b64decode(text[17:]), np.uint8).reshape(-1, 6)
     wide = np.zeros((len(raw), 8), np.uint8)
     wide[:, 2:] = raw
-    return Sketch(int(text[:12], 16), wide.reshape(-1).view(">u8").astype(np.uint64))
+    return Sketch(int(text[:12], 16), int(text[12:16], 16), wide.reshape(-1).view(">u8").astype(np.uint64))
 
 
 def edited(text: str, following: str) -> str:
@@ -134,7 +138,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     range goes to the range before it as well. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LEAST)).alias("key"),
+    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("key"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     n_buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = rows.agg(F.count("*").alias("n"), F.min("key").alias("low")).first()
@@ -179,7 +183,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     changed = [edited(t, following) for _, t, _, following, _ in done]
                     new = sketches(changed)
                     yield as_batch(_EDITED_ARROW, [
-                        [None if k == LEAST else k for k, *_ in done],
+                        [None if k == NO_ID else k for k, *_ in done],
                         [len(t) for _, t, *_ in done],
                         [hashlib.sha256(c.encode()).hexdigest() for c in changed],
                         [to_string(s) for _, _, s, _, _ in done],

@@ -76,6 +76,23 @@ def test_sketches_compare_unequal_texts():
     assert fingerprints.containment(nothing, a) == 1
 
 
+def test_merged_sketch_is_that_of_both_texts():
+    rng = random.Random(2)
+    texts = ["", "one two", *(data.prose(rng, n) for n in (3, 20, 35, 36, 50, 70, 300, 5000))] + data.nasty_texts()[:20]
+    found = words.find_words(pa.array([t or "" for t in texts]))
+    values, first = words.shingles(found, fingerprints.WORDS)
+    sets = [values[a:b] >> np.uint64(16) for a, b in zip(first, first[1:])]
+    for share, least in ((1 / 2, 32), (1 / 8, 0), (1 / 8, 1), (1 / 100, 128)):
+        marks = [fingerprints.sketch(h, share, least) for h in sets]
+        for x, a in zip(sets, marks):
+            assert set(a.hashes.tolist()) >= {h for h in x.tolist() if h < a.limit}
+            assert set(a.hashes.tolist()) >= {h for h in x.tolist() if h < a.reach}
+            for y, b in zip(sets, marks):
+                both, union = fingerprints.merged(a, b), fingerprints.sketch(np.concatenate([x, y]), share, least)
+                assert both.limit == union.limit and both.hashes.tolist() == union.hashes.tolist()
+                assert both.reach == union.reach
+
+
 def follow(rows):
     out = []
     for i, (d, t) in enumerate(rows):
