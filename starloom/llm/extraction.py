@@ -2,10 +2,15 @@
 
 A page is cut into blocks at block-level tags. Each block has its word count, its link density
 (share of its words inside links), both of the blocks before and after it, whether it is a
-heading, and the region it lies in: 1 in an article, -1 in a part that tags or class names call
-a menu, header, footer, sidebar, notice, advert, form or comments, 0 if nothing says so; the
-innermost such element decides. A tree fitted on the small labelled table below keeps or drops
-each block.
+heading, and the region it lies in: 1 in an article, -1 in a part that tags or names call a menu,
+header, footer, sidebar, notice, advert, form or comments, 0 if nothing says so; the innermost
+such element decides. A tree fitted on the small labelled table below keeps or drops each block.
+
+A name marks a part only as a whole: every word of one class, id, role or itemprop must be a
+boilerplate name or an addition to one ("cookie-notice", "site-footer", but not "ad-free" or
+"copyright-law"). Names of headings mark nothing, nor do ids of sections within an article;
+paragraphs, items and cells within an article go by the names of adverts and comments only,
+elements within a line by those of adverts only.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import in_tasks, pieces_of
 
 # Elements and names that say what a part of a page is.
-RAW = "script style textarea title iframe noscript template svg math object select button canvas audio video"
+RAW = "script style textarea title iframe noscript template svg object select button canvas audio video"
 BOILER_TAGS = frozenset("nav footer aside form header menu dialog".split())
 CONTENT_TAGS = frozenset("article main".split())
 BLOCK_TAGS = frozenset((
@@ -34,12 +39,20 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BOILER_NAMES = frozenset((
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar "
     "navigation menu menubar submenu breadcrumb breadcrumbs header masthead topbar toolbar footer sidebar aside widget "
-    "related recommended recommendations teaser comment comments commentlist disqus reply replies respond discussion "
+    "related recommended recommendations teaser comment comments commentlist remarks disqus reply replies respond discussion feedback guestbook "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe signup "
     "login search searchform share sharing social pagination pager copyright legal disclaimer skip hidden form "
-    "complementary contentinfo search").split())
-CONTENT_NAMES = frozenset(
-    "article articlebody post entry story main maincontent content body text articletext posttext".split())
+    "complementary contentinfo").split())
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored".split())
+REMARKS = frozenset("comment comments commentlist reply replies respond disqus".split())
+TEASERS = frozenset("teaser related recommended promo".split())
+ADDITIONS = frozenset((
+    "site page global top bottom left right main primary secondary user users reader readers visitor visitors "
+    "container wrapper wrap box bar block inner outer area section list links buttons button items item slot unit "
+    "panel row column thread title bottombar policy message").split())
+CARDS = ADDITIONS | frozenset("post posts card cards".split())
+TEXT_TAGS = frozenset("p li dd dt td th tr tbody blockquote pre figure figcaption address".split())
+CONTENT_NAMES = frozenset("article articlebody articletext posttext maincontent main".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -88,12 +101,21 @@ LABELLED = (
     (0, 0, 4, 0.6, 50, 0.0, 2, 0.0, 0), (0, 0, 2, 1.0, 40, 0.0, 45, 0.0, 0), (0, 0, 6, 0.7, 25, 0.0, 90, 0.0, 0),
     (0, 0, 1, 0.0, 24, 0.0, 20, 0.0, 1), (0, 0, 3, 0.0, 26, 0.0, 24, 0.0, 1), (0, 0, 5, 0.0, 90, 0.0, 28, 0.0, 1),
     (0, 0, 24, 0.0, 1, 0.0, 20, 0.0, 1), (0, 0, 20, 0.0, 1, 0.0, 3, 0.8, 1), (0, 0, 28, 0.0, 3, 0.7, 1, 0.0, 1),
+    (1, 0, 2, 0.0, 0, 0.0, 0, 0.0, 1), (1, 0, 4, 0.0, 3, 1.0, 0, 0.0, 1), (1, 0, 3, 1.0, 5, 1.0, 6, 1.0, 1),
+    (1, 1, 2, 0.0, 4, 1.0, 3, 1.0, 1), (1, 0, 9, 0.0, 3, 0.9, 2, 0.0, 1), (1, 0, 6, 0.5, 0, 0.0, 0, 0.0, 1),
+    (1, 0, 12, 0.0, 10, 1.0, 9, 0.9, 1), (1, 0, 3, 0.0, 2, 0.0, 2, 0.0, 1), (1, 0, 1, 1.0, 1, 1.0, 1, 1.0, 1),
+    (1, 0, 5, 1.0, 0, 0.0, 0, 0.0, 1), (1, 0, 8, 0.8, 7, 0.8, 2, 1.0, 1), (1, 1, 3, 0.0, 0, 0.0, 0, 0.0, 1),
+    (0, 1, 1, 0.0, 0, 0.0, 22, 0.0, 1), (0, 1, 3, 0.0, 0, 0.0, 30, 0.0, 1), (0, 1, 2, 0.0, 3, 0.0, 26, 0.0, 1),
+    (0, 0, 8, 0.0, 12, 0.9, 15, 0.8, 0), (0, 0, 6, 0.0, 20, 0.8, 18, 0.9, 0), (0, 0, 4, 0.0, 9, 1.0, 14, 1.0, 0),
+    (0, 0, 12, 0.0, 16, 0.9, 22, 0.9, 0), (0, 1, 4, 0.0, 10, 0.9, 14, 0.9, 0), (0, 0, 9, 0.0, 24, 1.0, 30, 0.9, 0),
+    (0, 0, 5, 0.0, 30, 0.0, 0, 0.0, 1), (0, 0, 2, 0.0, 45, 0.0, 0, 0.0, 1), (0, 0, 7, 0.0, 60, 0.0, 2, 1.0, 1),
+    (0, 0, 8, 0.0, 12, 0.0, 15, 0.0, 1), (0, 0, 6, 0.0, 20, 0.0, 18, 0.9, 1), (0, 0, 9, 0.0, 35, 0.0, 3, 1.0, 1),
     (0, 0, 2, 0.0, 3, 0.8, 0, 0.0, 0), (0, 0, 3, 0.0, 6, 0.2, 0, 0.0, 0), (0, 0, 2, 0.0, 4, 0.7, 2, 0.0, 0),
 )
 FEATURES = 8
 
 
-def grow(rows: list[tuple], depth: int = 6):
+def grow(rows: list[tuple], depth: int = 8):
     """A tree by Gini impurity: a share of main text, or (feature, limit, at most, above)."""
     share = sum(r[-1] for r in rows) / len(rows)
     if depth == 0 or share in (0, 1):
@@ -128,29 +150,46 @@ def is_main(tree, features: tuple) -> bool:
     return tree >= 0.5
 
 
+@functools.lru_cache(1 << 16)
+def _parts(name: str) -> frozenset[str]:
+    """The words of one name, such as cookie and notice in cookieNotice."""
+    words = re.split(r"[^A-Za-z]+", name)
+    parts = [p.lower() for w in words for p in ([w] if w.isupper() else _PARTS.findall(w))]
+    return frozenset(p for p in parts if len(p) > 1)
+
+
+def _named(names: list[str], known: frozenset[str], additions: frozenset[str] = ADDITIONS) -> bool:
+    """Is one of the names made of known words and additions only?"""
+    return any(not known.isdisjoint(p) and p <= known | additions for p in map(_parts, names))
+
+
 def _region_of(tag: str, attrs: str, in_article: bool) -> int:
     """1, -1, or 0 where the element says nothing."""
+    if tag in ("html", "body"):
+        return 0
     names: list[str] = []
     if len(attrs) > 4:
-        for kind, value in _NAMES.findall(attrs):
-            for word in re.split(r"[^A-Za-z]+", value):
-                names += [word.lower(), *(p.lower() for p in _PARTS.findall(word))]
         if _HIDDEN.search(attrs):
             return -1
-    if tag in ("html", "body"):
-        return 0
+        for kind, value in _NAMES.findall(attrs):
+            found = value.strip("\"'>").split()
+            if not (in_article and tag == "section" and kind.lower() == "id") or found == ["comments"]:
+                names += found
     if tag in CONTENT_TAGS:
-        return -1 if not {"comment", "comments", "reply", "teaser", "related", "ad", "sponsored"}.isdisjoint(names) else 1
+        return -1 if _named(names, ADVERTS | REMARKS | TEASERS, CARDS) else 1
     if tag == "header" and in_article:
         return 0
     if tag in BOILER_TAGS:
         return -1
-    if names:
-        if not BOILER_NAMES.isdisjoint(names):
-            return -1
-        if not in_article and not CONTENT_NAMES.isdisjoint(names) and tag in ("div", "section", "td"):
-            return 1
-    return 0
+    if not names or tag in HEADINGS:
+        return 0
+    if tag not in BLOCK_TAGS:
+        return -_named(names, ADVERTS)
+    if in_article and tag in TEXT_TAGS:
+        return -_named(names, ADVERTS | REMARKS)
+    if _named(names, BOILER_NAMES):
+        return -1
+    return int(not in_article and tag in ("div", "section", "td") and not CONTENT_NAMES.isdisjoint(n.lower() for n in names))
 
 
 def blocks_of(page: str) -> list[Block]:

@@ -413,6 +413,25 @@ PAGES = [
      f"<footer>{LONG}</footer>", "Head\na bc <i>\nx"),
     (f"<article><header><h1>Title</h1></header><p>{LONG}</p><div class=ad><p>{LONG}</p></div><footer>By me</footer></article>",
      f"Title\n{LONG}"),
+    *((f"<body>{opening}<p>{LONG}</p><p>Tiny.</p><p>{LONG}</p></article>", f"{LONG}\nTiny.\n{LONG}") for opening in (
+        "<article class='post comments-open'>", "<article class='ad-free'>")),
+    *((f"<article><h1>Title</h1>{opening}<p>{LONG}</p>{closing}</article>", f"Title\n{LONG}") for opening, closing in (
+        ("<section id=copyright-law>", "</section>"), ("<div class='notice-of-motion'>", "</div>"),
+        ("<section id='search'>", "</section>"), ("<div class='article-header'>", "</div>"))),
+    *((f"<body>{opening}<h1>Title</h1><p>{LONG}</p>{closing}<p>{LONG}</p>", f"Title\n{LONG}\n{LONG}") for opening, closing in (
+        ("<section id=copyright-law>", "</section>"), ("<div class='notice-of-motion'>", "</div>"),
+        ("<div class='article-header'>", "</div>"))),
+    (f"<article><h2 id='search'>Search</h2><p>{LONG}</p></article>", f"Search\n{LONG}"),
+    (f"<body><p>{LONG}</p><h2 id='search'>Search</h2><p>{LONG}</p>", f"{LONG}\nSearch\n{LONG}"),
+    (f"<body><p>{LONG}</p><p>The end.</p><ul><li><a href=1>More</a></ul>", f"{LONG}\nThe end."),
+    ("<body><p>" + "<a href=1>One of many links in a list that is long</a></p><p>See these too, all new</p><p>".join([""] * 3)
+     + f"</p><div><p>{LONG}</p></div>", LONG),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p></article>", "Let x=1 hold."),
+    (f"<article><p>See <span class='comment'>// this</span> and <span class='ad'>buy</span> more.</p><p class=notice>{LONG}</p>"
+     "<ol class='commentList'><li>First!</li></ol></article>", f"See // this and\nmore.\n{LONG}"),
+    *((f"<body><article><p>{LONG}</p></article><div {name}><p>{LONG}</p><p>{LONG}</p></div>", LONG) for name in (
+        "id='remarks'", "class='reader-comments'", "class='site-footer'", "id=cookieBanner", "class='x related box'",
+        "role='complementary'", "class='NEWSLETTER'", "hidden")),
     (f"<header><p>{LONG}</p></header><div><p>{LONG}</p><p>Tiny.</p><p>{LONG}</p></div>", f"{LONG}\nTiny.\n{LONG}"),
 ]
 
@@ -433,3 +452,18 @@ def test_pages_with_nulls(spark):
 def test_the_tree_fits_its_table():
     tree = extraction.trained_tree()
     assert all(extraction.is_main(tree, r[:-1]) == bool(r[-1]) for r in extraction.LABELLED)
+
+    def used(node):
+        return {node[0]} | used(node[2]) | used(node[3]) if isinstance(node, tuple) else set()
+
+    # Words, link density, and both of a neighbour take part; nothing of an article is dropped.
+    assert {2, 3} <= used(tree) and used(tree) & {4, 6} and used(tree) & {5, 7}
+
+    def leaves(node):
+        if not isinstance(node, tuple):
+            return [node]
+        if node[0] == 0:
+            return leaves(node[3] if node[1] < 1 else node[2])
+        return leaves(node[2]) + leaves(node[3])
+
+    assert min(leaves(tree)) >= 0.5
