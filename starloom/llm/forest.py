@@ -58,7 +58,8 @@ def _names(values: np.ndarray, first: np.ndarray) -> list[str]:
 
 
 def _signatures(rows: DataFrame, threshold: float) -> DataFrame:
-    """(key, name, labels, sketch) of every text; all but the key null for a text without words."""
+    """(key, mark, name, labels, sketch) of every (key, text, mark); name, labels and sketch are
+    null for a text without words."""
     length = prefix_length(threshold)
     generator = np.random.default_rng(20)
     # Multiplying by an odd number orders the hashes anew; its minimum is one minimum of a tree.
@@ -86,11 +87,11 @@ def _signatures(rows: DataFrame, threshold: float) -> DataFrame:
                 place[full] = np.arange(len(full))
                 take = pa.array(place, mask=place < 0)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([names[i] for i in full.tolist()], pa.string()).take(take),
+                    [part.column(0), part.column(2), pa.array([names[i] for i in full.tolist()], pa.string()).take(take),
                      _lists(labels.view(np.int64)).take(take), _lists(sketch).take(take)],
-                    ["key", "name", "labels", "sketch"])
+                    ["key", "mark", "name", "labels", "sketch"])
 
-    return in_tasks(rows, work, "key long, name string, labels array<long>, sketch array<long>")
+    return in_tasks(rows, work, "key long, mark long, name string, labels array<long>, sketch array<long>")
 
 
 def _lists(matrix: np.ndarray) -> pa.Array:
@@ -218,18 +219,26 @@ def _compare(tasks: DataFrame, threshold: float) -> DataFrame:
 
 def _classes(rows: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(key, name) of every row, and per name: keeper (key, name) of its class, n_links."""
+    # Rows of one id (null ids are one id) are told apart by their texts' hashes.
+    rows = rows.withColumn("mark", F.xxhash64("text"))
     signed = stored(_signatures(rows, threshold))
     classes = stored(signed.where("name IS NOT NULL").groupBy("name").agg(
-        F.min("key").alias("least"), F.count("*").alias("copies"),
-        F.first("labels").alias("labels"), F.first("sketch").alias("sketch")))
+        F.min(F.struct("key", "mark")).alias("row"), F.count("*").alias("copies"),
+        F.first("labels").alias("labels"), F.first("sketch").alias("sketch")).select(
+        "name", F.col("row.key").alias("least"), F.col("row.mark").alias("mark"), "copies", "labels", "sketch"))
     clusters = components(_candidate_links(classes), "name", "root")
     clusters = stored(clusters.withColumnRenamed("node", "name").withColumnRenamed("component", "cluster"))
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("members")) \
         .select("cluster", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    wanted = clusters.join(sizes, "cluster").join(classes.select("name", "least", "copies"), "name").select(
-        "name", "cluster", "blocks", "copies", F.col("least").alias("key"),
+    wanted = clusters.join(sizes, "cluster").join(classes.select("name", "least", "mark", "copies"), "name").select(
+        "name", "cluster", "blocks", "copies", F.col("least").alias("key"), "mark",
         F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int").alias("block"))
-    texts = _with_own_text(wanted.join(rows, "key"))
+    repeated = stored(signed.where("name IS NOT NULL").groupBy("key", "mark").agg(F.count("*").alias("n"))
+                      .where("n > 1").select("key", "mark"))
+    if not repeated.isEmpty():
+        once = rows.join(repeated, ["key", "mark"], "left_semi").groupBy("key", "mark").agg(F.first("text").alias("text"))
+        rows = rows.join(repeated, ["key", "mark"], "left_anti").unionByName(once)
+    texts = _with_own_text(wanted.join(rows, ["key", "mark"]).drop("mark"))
     tasks = texts.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cluster", F.least("block", "x").alias("i"), F.greatest("block", "x").alias("j"),
         "name", "block", "copies", "text")

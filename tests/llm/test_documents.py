@@ -207,6 +207,23 @@ def test_blocks_of_a_large_cluster_lose_no_link(spark, monkeypatch):
     assert found == brute.links(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("rows", [60, 240])
+def test_texts_of_repeated_ids_are_read_once(spark, monkeypatch, rows):
+    """Rows without an id, and repeated rows, reach the comparison once per text."""
+    rng = random.Random(4)
+    base = data.prose(rng, 60).split()
+    different = [" ".join(base[:i % 60] + ["other"] + base[i % 60 + 1:]) + " " * (i // 60) for i in range(rows)]
+    texts = different + [different[0]] * rows
+    compared = []
+    plain = forest._compare
+    monkeypatch.setattr(forest, "_compare", lambda tasks, threshold: compared.append(tasks) or plain(tasks, threshold))
+    docs = data.documents(spark, texts, [None] * rows + [7] * rows)
+    found = forest.link_documents(docs).collect()
+    assert sorted(r.n_links for r in found) == sorted(n for *_, n in brute.links(list(enumerate(texts))))
+    assert {r.class_id for r in found} == {None}
+    assert compared[0].count() == len({t.strip() for t in texts})
+
+
 def test_one_document_of_each_class_stays(spark, nasty):
     classes = {d: c for d, c, _ in brute.links(list(enumerate(data.nasty_texts())))}
     out = forest.keep_one_of_each(nasty)
