@@ -108,3 +108,22 @@ def without_matches(df: DataFrame, existing: DataFrame, on: list[str]) -> DataFr
         same = _same(present, wanted, [(b, f"_want_{a}") for a, b in pairs], True)
         present = present.join(F.broadcast(wanted), same, "left_semi")
     return df.join(present, _same(df, present, pairs, True), "left_anti")
+
+
+# Up to so many keys are looked for by value, so Parquet can pass over most of the stored ones.
+FEW_KEYS = 1000
+
+
+def without_bucketed(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``keys``, which lie in buckets of those columns.
+
+    Only ``df`` is exchanged, by the buckets. A null key equals nothing. The keys of a small
+    ``df`` narrow the scan by their values: exactly through the Bloom filters where they are
+    few, else by their range.
+    """
+    few = df.select(*on).limit(FEW_KEYS + 1).collect()
+    if len(few) <= FEW_KEYS:
+        for column in on:
+            keys = keys.where(F.col(column).isin(sorted({r[column] for r in few if r[column] is not None})))
+    present, pairs = _renamed(keys, on)
+    return df.join(present.hint("merge"), _same(df, present, pairs, False), "left_anti")

@@ -54,7 +54,11 @@ _TYPES = {
 
 @dataclass(frozen=True)
 class Table:
-    """One stored table. A column written ``name type!`` must not be null."""
+    """One stored table. A column written ``name type!`` must not be null.
+
+    A ``keyed`` table can grow large and is asked for its business keys at every insert; its
+    key columns must not be null.
+    """
 
     layer: str
     name: str
@@ -65,6 +69,7 @@ class Table:
     references: tuple[tuple[str, str, str], ...] = ()
     checks: dict[str, str] = field(default_factory=dict, hash=False)
     month_of: str | None = None
+    keyed: bool = False
 
     @staticmethod
     def by_name(layer: str, name: str) -> Table:
@@ -209,7 +214,7 @@ DIM_PRODUCT = Table(
     references=(("brand_key", "dim_brand", "brand_key"),),
 )
 DIM_CUSTOMER = Table("dw", "dim_customer", "customer_key long!, customer_id string!",
-                     key=("customer_id",), surrogate="customer_key")
+                     key=("customer_id",), surrogate="customer_key", keyed=True)
 DIM_PROFILE = Table("dw", "dim_reviewer_profile", f"reviewer_profile_key long!, {_ATTRIBUTES}",
                     key=tuple(PROFILE_ATTRIBUTES), surrogate="reviewer_profile_key")
 FACT = Table(
@@ -217,7 +222,7 @@ FACT = Table(
     "review_key long!, source_row_id long!, product_id string!, product_key long!, "
     f"customer_key long!, reviewer_profile_key long!, date_key int!, {_MEASURES}, "
     "submission_date date!",
-    key=("source_row_id", "product_id"), surrogate="review_key", month_of="submission_date",
+    key=("source_row_id", "product_id"), surrogate="review_key", month_of="submission_date", keyed=True,
     references=(
         ("product_key", "dim_product", "product_key"),
         ("customer_key", "dim_customer", "customer_key"),

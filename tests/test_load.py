@@ -6,11 +6,12 @@ import pytest
 from conftest import ATTRIBUTES, frame, product, review, rows
 from pyspark.sql import functions as F
 
+from starloom.operators import joins, upsert
 from starloom.operators.quality import ConstraintError, DataQualityError
 from starloom.plans import clean, dimensions, load, normalize, views
 from starloom.plans.star import read_star
 from starloom.schemas import (
-    BATCH_TABLES, DIM_PRODUCT, FACT, NF_REVIEW, RAW_PRODUCT, RAW_REVIEW, STAGED_PRODUCT, STAGED_REVIEW,
+    BATCH_TABLES, DIM_CUSTOMER, DIM_PRODUCT, FACT, NF_REVIEW, RAW_PRODUCT, RAW_REVIEW, STAGED_PRODUCT, STAGED_REVIEW,
     STG_BRAND, STG_CUSTOMER, STG_PRODUCT, STG_PROFILE,
 )
 from starloom.session import scratch_path
@@ -401,3 +402,54 @@ def test_an_orphan_review_and_a_repeated_brand_name_are_refused(spark, source_fi
     load.ingest(other, renamed, reviews)
     with pytest.raises(ConstraintError, match="unique_brand_name=1"):
         normalize.rebuild_staging(spark, other)
+
+
+def test_stored_keys_are_compared_without_moving_them(spark, monkeypatch):
+    root = scratch_path(spark, "keyed")
+    ids = spark.range(5000).select(F.col("id").cast("string").alias("customer_id"))
+    monkeypatch.setattr(joins, "FEW_KEYS", 10)
+    spark.conf.set(layers.BUCKETS, "4")
+    try:
+        assert upsert.insert_absent(ids.where("customer_id < 2000"), root, DIM_CUSTOMER).inserted == 2000
+    finally:
+        spark.conf.unset(layers.BUCKETS)
+    assert upsert.insert_absent(ids.where("customer_id < 3000"), root, DIM_CUSTOMER).inserted == 1000
+    keys = layers.read_keys(spark, root, DIM_CUSTOMER)
+    assert keys.count() == 3000
+    fresh = joins.without_bucketed(ids, keys, ["customer_id"])
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Bucketed: true") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert "BroadcastExchange" not in plan and fresh.count() == 2000
+    few = joins.without_bucketed(ids.where("customer_id in ('7', '4000')"), keys, ["customer_id"])
+    assert "In(customer_id" in few._jdf.queryExecution().executedPlan().toString()
+    assert [r.customer_id for r in few.collect()] == ["4000"]
+    done = upsert.insert_absent(ids.limit(0), root, DIM_CUSTOMER)
+    assert (done.offered, done.inserted) == (0, 0)
+    with pytest.raises(ConstraintError):
+        upsert.insert_absent(spark.createDataFrame([(None,)], "customer_id string"), root, DIM_CUSTOMER)
+
+
+def test_rows_without_stored_keys_are_compared_as_they_are(spark):
+    root = scratch_path(spark, "unkeyed")
+    ids = spark.range(30).select(F.col("id").cast("string").alias("customer_id"))
+    upsert.insert_absent(ids.limit(10), root, DIM_CUSTOMER)
+    layers.put_in_force(spark, root, [layers.Version(layers.keys_table(DIM_CUSTOMER), None, 0)])
+    assert layers.read_keys(spark, root, DIM_CUSTOMER) is None
+    done = upsert.insert_absent(ids, root, DIM_CUSTOMER)
+    assert (done.offered, done.inserted) == (30, 20)
+
+
+def test_keys_of_an_insert_that_dies_are_not_in_force(spark, monkeypatch):
+    root = warehouse(spark)
+    load.run_load(spark, root, inc.HISTORICAL)
+
+    def dies(*args, **kwargs):
+        raise OSError("no space left")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(layers, "put_in_force", dies)
+        with pytest.raises(OSError):
+            load.run_load(spark, root, inc.FULL)
+    assert layers.read_keys(spark, root, FACT).count() == layers.read_table(spark, root, FACT).count() == 3
+    assert load.run_load(spark, root, inc.FULL)["rows_inserted"] == 2
+    assert layers.read_keys(spark, root, FACT).count() == 5
