@@ -8,7 +8,7 @@ segmentations in the order of their scores.
 
 No piece crosses from other characters into a space mark or a line feed, so the lattice of a
 text is a chain of the lattices of its units. Each unit's best score and the loss of its second
-best (from forward and backward scores) are kept per process, up to a bound. The n best of a
+best (from the two best ways to each position) are kept per process, up to a bound. The n best of a
 text can differ from its best only in the n - 1 units with the smallest losses: A-star runs
 there alone, and their lists are merged.
 
@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
+import operator
 import re
 import zlib
 
@@ -35,18 +37,19 @@ _LITERAL = "\ud800"  # stands for a literal mark; cannot occur in a valid text
 UNKNOWN_LOSS = 10.0
 MOST_UNITS = 1_200_000
 N_BEST = 4
-_NO_PREFIX = ()
+_NOTHING = (0.0, None, None)
 
 
 class _Known(dict):
-    """Numbers of units, found on first use."""
+    """(best score, loss of the second best, ids) of units, found on first use."""
 
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.pieces = pieces
 
-    def __missing__(self, unit: str) -> int:
-        return self.pieces._learn(unit)
+    def __missing__(self, unit: str) -> tuple[float, float, bytes]:
+        found = self[unit] = self.pieces._learn(unit)
+        return found
 
 
 class Pieces:
@@ -81,15 +84,22 @@ class Pieces:
         if any("\n" in p or re.search(f"[^{MARK}]{MARK}", p) for p in self.scores):
             raise ValueError("pieces cross spaces or lines: a text cannot be cut into units")
         self.units = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-        # Every piece with its score and id, and None for what only begins a piece.
-        self.table: dict[str, tuple | None] = {p[:k]: None for p in self.scores for k in range(1, len(p))}
-        for p in self.scores:
-            self.table |= {p[k:k + 2]: self.table.get(p[k:k + 2]) for k in range(len(p) - 1)}
-        self.table |= {p: (score, i.to_bytes(2, "little")) for p, (i, score) in self.scores.items()}
+        self.pairs = {p[k:k + 2] for p in self.scores for k in range(len(p) - 1)}
+        # Pieces by their characters: (score, id or None for what only begins a piece, next characters or None).
+        self.first: dict[str, tuple] = {}
+        self._grow(self.first, sorted(self.scores), 0)
         self.known = _Known(self)
-        self.best: list[float] = []
-        self.loss: list[float] = []
-        self.ids: list[bytes] = []
+
+    def _grow(self, into: dict[str, tuple], pieces: list[str], depth: int) -> None:
+        """Fill ``into`` with the characters that follow the first ``depth`` of ``pieces`` (sorted)."""
+        for char, group in itertools.groupby(pieces, lambda p: p[depth]):
+            same = list(group)
+            own = same.pop(0) if len(same[0]) == depth + 1 else None
+            after = None
+            if same:
+                self._grow(after := {}, same, depth + 1)
+            number, score = self.scores[own] if own else (None, 0.0)
+            into[char] = score, None if own is None else number.to_bytes(2, "little"), after
 
     def edges(self, unit: str) -> list[list[tuple]]:
         """By start: (end, score, ids) of every edge, in order of length."""
@@ -146,64 +156,49 @@ class Pieces:
                 heapq.heappush(heap, (-(ahead[i] + total), i, -count, total, (ids, path)))
         return out
 
-    def _learn(self, unit: str) -> int:
-        """Number of a new unit: the sum over its parts, which no piece crosses."""
-        cuts = [i for i in range(1, len(unit)) if unit[i - 1:i + 1] not in self.table]
+    def _learn(self, unit: str) -> tuple[float, float, bytes]:
+        """A new unit: the sum over its parts, which no piece crosses."""
+        pairs, known = self.pairs, self.known
+        cuts = [i for i, pair in enumerate(map(operator.add, unit, unit[1:]), 1) if pair not in pairs]
         if not cuts:
             return self._solve(unit)
-        numbers = [self.known[p] if p in self.known else self._solve(p)
-                   for p in (unit[i:j] for i, j in zip([0, *cuts], [*cuts, len(unit)]))]
-        return self._add(unit, sum(self.best[i] for i in numbers), min(self.loss[i] for i in numbers),
-                         b"".join(self.ids[i] for i in numbers))
-
-    def _add(self, unit: str, best: float, loss: float, ids: bytes) -> int:
-        number = self.known[unit] = len(self.best)
-        self.best.append(best)
-        self.loss.append(loss)
-        self.ids.append(ids)
-        return number
-
-    def _solve(self, unit: str) -> int:
-        """Best score of a unit, and the loss of its second best: the best through an unused edge."""
-        n, get = len(unit), self.table.get
-        ahead, by = [0.0] + [-np.inf] * n, [-1] * (n + 1)
-        edges = []
-        for i in range(n):
-            base = ahead[i]
-            for j in range(i + 1, n + 1):
-                found = get(unit[i:j], _NO_PREFIX)
-                if not found:
-                    if j > i + 1:
-                        if found is None:
-                            continue
-                        break
-                    score, ids = self.unknown, self._spelled(unit[i])
-                else:
-                    score, ids = found
-                value = base + score
-                if value > ahead[j]:
-                    ahead[j] = value
-                    by[j] = len(edges)
-                edges.append((i, j, score, ids))
-                if found == _NO_PREFIX:
+        found = []
+        for part in map(unit.__getitem__, map(slice, [0, *cuts], [*cuts, len(unit)])):
+            one = known.get(part)
+            if one is None:
+                one = known[part] = self._solve(part)
+            found.append(one)
+        best, loss, ids = zip(*found)
+        return sum(best), min(loss), b"".join(ids)
+
+    def _solve(self, unit: str) -> tuple[float, float, bytes]:
+        """Best score of a unit and the loss of its second best, from the two best ways to each position."""
+        n, first, none = len(unit), self.first, -np.inf
+        best, second, by = [0.0] + [none] * n, [none] * (n + 1), [None] * (n + 1)
+        for i, char in enumerate(unit):
+            base, other, j = best[i], second[i], i + 1
+            score, ids, after = first.get(char, _NOTHING)
+            if ids is None:
+                score, ids = self.unknown, self._spelled(char)
+            while True:
+                if ids is not None:
+                    value = base + score
+                    if value > best[j]:
+                        second[j], best[j], by[j] = best[j], value, (i, ids)
+                    elif value > second[j]:
+                        second[j] = value
+                    if other > none and other + score > second[j]:
+                        second[j] = other + score
+                if after is None or j == n or (found := after.get(unit[j])) is None:
                     break
-        at, ids, used = n, [], set()
+                score, ids, after = found
+                j += 1
+        at, path = n, []
         while at:
-            used.add(by[at])
-            edge = edges[by[at]]
-            ids.append(edge[3])
-            at = edge[0]
-        # Edges come by their start, so a way back from an edge's end is known when it is reached.
-        back, second = [-np.inf] * n + [0.0], -np.inf
-        for k in range(len(edges) - 1, -1, -1):
-            i, j, score, _ = edges[k]
-            value = score + back[j]
-            if value > back[i]:
-                back[i] = value
-            value += ahead[i]
-            if value > second and k not in used:
-                second = value
-        return self._add(unit, ahead[n], ahead[n] - second, b"".join(reversed(ids)))
+            at, ids = by[at]
+            path.append(ids)
+        path.reverse()
+        return best[n], best[n] - second[n], b"".join(path)
 
     def _spelled(self, char: str) -> bytes:
         return np.array([self.bytes[b] for b in (MARK if char == _LITERAL else char).encode()], "<u2").tobytes()
@@ -216,12 +211,10 @@ class Pieces:
     def segmentations(self, text: str, n: int = N_BEST) -> list[tuple[float, bytes]]:
         """The n best (score, ids as little-endian 16-bit numbers) of a text, best first."""
         if len(self.known) > MOST_UNITS:
-            self.known, self.best, self.loss, self.ids = _Known(self), [], [], []
+            self.known = _Known(self)
         units = self.units_of(text)
-        numbers = list(map(self.known.__getitem__, units))
-        parts = list(map(self.ids.__getitem__, numbers))
-        base = float(sum(map(self.best.__getitem__, numbers)))
-        losses = np.fromiter(map(self.loss.__getitem__, numbers), np.float64, len(numbers))
+        scores, losses, parts = zip(*map(self.known.__getitem__, units)) if units else ((), (), ())
+        base, losses = float(sum(scores)), np.array(losses, np.float64)
         out = [(base, b"".join(parts))]
         if n == 1 or not units:
             return out
