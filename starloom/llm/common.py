@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -54,9 +56,23 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def in_tasks(df: DataFrame, work, schema: str) -> DataFrame:
-    """mapInArrow with a schema written as DDL; ``work`` maps a stream of batches."""
+    """mapInArrow with a schema written as DDL; ``work`` maps a stream of batches.
+
+    Python processes live on after a task, so each gives back the memory it no longer uses.
+    """
+    def tidy(batches):
+        yield from work(batches)
+        give_back()
+
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(tidy, schema)
+
+
+def give_back() -> None:
+    """Return freed memory of Arrow and of the C library to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

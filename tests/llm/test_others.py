@@ -382,10 +382,55 @@ def test_held_out_labels_do_not_matter(spark):
     assert a == b
 
 
-def test_neighbours_stay_within_a_text():
-    both = quality.neighbour_counts(find_words(pa.array(["a b", "c d"])))
-    apart = sum(quality.neighbour_counts(find_words(pa.array([t]))) for t in ("a b", "c d"))
-    assert (both == apart).all()
+def _context_by_hand(texts):
+    """Context sums, word by word."""
+    out = {}
+    for text in texts:
+        words = find_words(pa.array([text]))
+        hashes = quality.hashes_of(words)
+        own = quality.index_vectors(hashes).astype(int)
+        for i, h in enumerate(hashes.tolist()):
+            near = [own[j] for j in range(max(0, i - 2), min(len(own), i + 3)) if j != i]
+            out[h] = out.get(h, 0) + sum(near, np.zeros(quality.DIMS, int))
+    return out
+
+
+def test_contexts_and_pooled_vectors_by_hand(spark, monkeypatch):
+    texts = ["a b c a", "c d", "", "A, b! c? a.", "x " * 300, "a b c a", *data.nasty_texts()]
+    texts = [t or "" for t in texts]
+    truth = _context_by_hand(texts)
+    monkeypatch.setattr(quality, "FULL", 4)
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, text string").repartition(3)
+    vectors = {r.word & (2 ** 64 - 1): r for r in quality.word_vectors(quality.context_sums(rows)).collect()}
+    assert vectors.keys() == truth.keys()
+    bytes_of = {}
+    for h, sums in truth.items():
+        made = quality.packed_vectors(np.array([h], np.uint64), np.array([sums]))
+        assert [vectors[h][p] for p in quality.PARTS] == made[0].tolist()
+        bytes_of[h] = made.view(np.int8)[0].astype(int)
+    found = {r.key: r for r in quality.pooled(rows).collect()}
+    for key, text in enumerate(texts):
+        hashes = quality.hashes_of(find_words(pa.array([text]))).tolist()
+        assert found[key].n_words == len(hashes)
+        total = sum((bytes_of[h] for h in hashes), np.zeros(quality.DIMS, int))
+        assert [found[key][p] for p in quality.SUMS] == total.tolist()
+
+
+def test_no_two_words_share_a_vector():
+    words = find_words(pa.array([" ".join(f"w{i}x" for i in range(20_000))]))
+    hashes, sums = quality.contexts(words)
+    assert len(hashes) == 20_000
+    assert len(np.unique(quality.packed_vectors(hashes, sums), axis=0)) == 20_000
+
+
+def test_good_rows_keep_clashing_columns(spark):
+    docs = spark.createDataFrame([(i % 7 if i % 5 else None, "good words here" if i % 2 else None, i, "m", "r")
+                                  for i in range(40)], "doc_id long, text string, key long, mark string, row string")
+    labels = spark.createDataFrame([(i, 1) for i in range(7)], "doc_id long, quality int")
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(r.key for r in kept.collect()) == list(range(40))
+    assert quality.score_documents(docs, labels).count() == 40
 
 
 # --- 10 -----------------------------------------------------------------------------------------
