@@ -4,7 +4,7 @@ A word is its lower-cased letters without marks at its end, as a 64-bit hash. It
 is sparse, of -1, 0 and 1, and made from that hash, so there is no table of words and no bound
 on their number. Its context is the sum of the index vectors of the words within ``REACH`` of
 it, over the whole corpus; the word vector is index and context, each of unit length, added and
-rounded to whole numbers of a byte. A document is the mean of its word vectors. Three extras
+rounded to whole numbers of four bits. A document is the mean of its word vectors. Three extras
 stand beside it: the mean index vector of the forms of its words (first and last character,
 capitals, doubled marks, length), the share of words that repeat one of the two before, and the
 log of its length.
@@ -31,9 +31,10 @@ from starloom.llm import blocks
 from starloom.llm.common import LEAST, id_of, in_tasks, pieces_of, stored, text_rows
 from starloom.llm.words import Words, find_words, mixed, word_hashes
 
-DIMS = 32                       # a vector of bytes is four 64-bit numbers
+DIMS = 32                       # a vector of four-bit numbers is two 64-bit ones
 NONZERO = 4
-SCALE = 60                      # of a unit vector; two of them stay within a byte
+MOST = 7                        # of four bits with a sign
+SCALE = 4.6                     # of a unit vector; index and context together seldom pass ``MOST``
 REACH = 2
 FULL = 1 << 18                  # words in the dictionary of a block
 LONGEST = 1 << 26               # words read into a block, so that its sums stay in 32 bits
@@ -43,7 +44,7 @@ HIDDEN = 32
 MOST_LABELLED = 6000
 LEAST_SCORE = 0.3
 FOLDS = 5
-PARTS = [f"v{i}" for i in range(DIMS // 8)]
+PARTS = [f"v{i}" for i in range(DIMS // 16)]
 SUMS = [f"p{i}" for i in range(DIMS)]
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -170,21 +171,32 @@ class _Dictionary:
         return out
 
 
+def _halves(numbers: np.ndarray) -> np.ndarray:
+    """Rows of numbers from -8 to 7 as four bits each: the first half of a row below the second."""
+    low, high = np.hsplit((numbers + 8).astype(np.uint8), 2)
+    return low | high << 4
+
+
+def _whole(packed: np.ndarray) -> np.ndarray:
+    return np.hstack([packed & 15, packed >> 4]).astype(np.int64) - 8
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     """Each row of a matrix as its bytes."""
     return pa.FixedSizeBinaryArray.from_buffers(
-        pa.binary(rows.itemsize * DIMS), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows))]).cast(pa.binary())
+        pa.binary(rows.itemsize * rows.shape[1]), len(rows),
+        [None, pa.py_buffer(np.ascontiguousarray(rows))]).cast(pa.binary())
 
 
 def _rows_of(raw: pa.Array) -> np.ndarray:
-    """The rows of ``_binary``, of bytes or of 32-bit numbers."""
-    small = pc.equal(pc.binary_length(raw), DIMS)
+    """The sums that ``_binary`` holds in four, eight or 32 bits each."""
+    length = pc.binary_length(raw).to_numpy(zero_copy_only=False)
     out = np.zeros((len(raw), DIMS), np.int64)
-    for mask, kind in ((small, "i1"), (pc.invert(small), "<i4")):
-        part = raw.filter(mask)
-        if len(part):
-            out[mask.to_numpy(zero_copy_only=False)] = np.frombuffer(
-                b"".join(part.to_pylist()), kind).reshape(-1, DIMS)
+    for size, kind in ((DIMS // 2, "u1"), (DIMS, "i1"), (4 * DIMS, "<i4")):
+        at = np.flatnonzero(length == size)
+        if len(at):
+            rows = np.frombuffer(b"".join(raw.take(pa.array(at)).to_pylist()), kind).reshape(len(at), -1)
+            out[at] = _whole(rows) if size < DIMS else rows
     return out
 
 
@@ -193,11 +205,12 @@ def context_sums(rows: DataFrame) -> DataFrame:
     def flushed(words, sums):
         hashes = words.in_order().view(np.int64)
         sums = sums[:len(hashes)]
-        small = (np.abs(sums) < 128).all(1)
-        for mask, kind in ((small, np.int8), (~small, np.int32)):
+        most = np.abs(sums).max(axis=1, initial=0)
+        for mask, kind in ((most <= MOST, None), ((most > MOST) & (most < 128), np.int8), (most >= 128, np.int32)):
             if mask.any():
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[mask]), _binary(sums[mask].astype(kind))],
-                                                 ["word", "sums"])
+                rows = sums[mask]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[mask]), _binary(rows.astype(kind) if kind else _halves(rows))], ["word", "sums"])
 
     def work(batches):
         words, sums, read = _Dictionary(), np.zeros((1 << 12, DIMS), np.int32), 0
@@ -220,12 +233,17 @@ def context_sums(rows: DataFrame) -> DataFrame:
 
 
 def packed_vectors(hashes: np.ndarray, sums: np.ndarray) -> np.ndarray:
-    """Word vectors from contexts: ``DIMS`` bytes as rows of 64-bit numbers."""
+    """Word vectors from contexts: ``DIMS`` times four bits as rows of 64-bit numbers."""
     out = np.zeros(sums.shape)
     for part in (index_vectors(hashes).astype(np.float64), sums.astype(np.float64)):
         length = np.sqrt((part * part).sum(1, keepdims=True))
         out += np.divide(part, length, out=np.zeros_like(part), where=length > 0)
-    return np.rint(out * SCALE).astype(np.int8).view("<i8")
+    return _halves(np.clip(np.rint(out * SCALE), -MOST, MOST).astype(np.int8)).view("<i8")
+
+
+def unpacked_vectors(vectors: np.ndarray) -> np.ndarray:
+    """The ``DIMS`` numbers of each row of ``packed_vectors``."""
+    return _whole(np.ascontiguousarray(vectors).view(np.uint8).reshape(len(vectors), DIMS // 2))
 
 
 def word_vectors(sums: DataFrame) -> DataFrame:
@@ -287,8 +305,7 @@ def document_words(rows: DataFrame) -> DataFrame:
 
 
 def _summed(times, values):
-    vectors = np.ascontiguousarray(values.T).view(np.int8).astype(np.float64)
-    return (times.astype(np.float64) @ vectors.reshape(-1, DIMS)).astype(np.int64).tolist()
+    return (times.astype(np.float64) @ unpacked_vectors(values.T).astype(np.float64)).astype(np.int64).tolist()
 
 
 def pooled(rows: DataFrame) -> DataFrame:

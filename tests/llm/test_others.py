@@ -403,16 +403,18 @@ def test_contexts_and_pooled_vectors_by_hand(spark, monkeypatch):
     rows = spark.createDataFrame(list(enumerate(texts)), "key long, text string").repartition(3)
     vectors = {r.word & (2 ** 64 - 1): r for r in quality.word_vectors(quality.context_sums(rows)).collect()}
     assert vectors.keys() == truth.keys()
-    bytes_of = {}
+    numbers_of = {}
     for h, sums in truth.items():
         made = quality.packed_vectors(np.array([h], np.uint64), np.array([sums]))
         assert [vectors[h][p] for p in quality.PARTS] == made[0].tolist()
-        bytes_of[h] = made.view(np.int8)[0].astype(int)
+        numbers_of[h] = quality.unpacked_vectors(made)[0]
+        whole = sum(v / max(np.linalg.norm(v), 1e-9) for v in (quality.index_vectors(np.array([h], np.uint64))[0], sums))
+        assert np.abs(numbers_of[h] - np.clip(whole * quality.SCALE, -7, 7)).max() <= 0.5 + 1e-9
     found = {r.key: r for r in quality.pooled(rows).collect()}
     for key, text in enumerate(texts):
         hashes = quality.hashes_of(find_words(pa.array([text]))).tolist()
         assert found[key].n_words == len(hashes)
-        total = sum((bytes_of[h] for h in hashes), np.zeros(quality.DIMS, int))
+        total = sum((numbers_of[h] for h in hashes), np.zeros(quality.DIMS, int))
         assert [found[key][p] for p in quality.SUMS] == total.tolist()
 
 
