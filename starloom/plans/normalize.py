@@ -92,5 +92,6 @@ def rebuild_staging(spark: SparkSession, root: str) -> dict[str, int]:
 
 
 def load_nf_reviews(spark, root, reviews, lookups) -> Inserted:
-    # The raw key is checked while cleaning, so no row needs to be picked here.
-    return insert_absent(nf_reviews(reviews, lookups), root, NF_REVIEW, unique=True)
+    # The raw key is checked while cleaning, so no row needs to be picked here. The rows are the
+    # stored raw layer with small lookups attached: read twice, not copied first.
+    return insert_absent(nf_reviews(reviews, lookups), root, NF_REVIEW, unique=True, stored=True)

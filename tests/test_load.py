@@ -453,3 +453,15 @@ def test_keys_of_an_insert_that_dies_are_not_in_force(spark, monkeypatch):
     assert layers.read_keys(spark, root, FACT).count() == layers.read_table(spark, root, FACT).count() == 3
     assert load.run_load(spark, root, inc.FULL)["rows_inserted"] == 2
     assert layers.read_keys(spark, root, FACT).count() == 5
+
+
+def test_landing_copies_the_reviews_once_besides_the_layers(spark, source_files):
+    # Intermediate copies made while landing, found by their review texts: cleaning's and the new nf rows'.
+    from starloom.session import shared_dir
+    shared = shared_dir(spark)
+    before = set(os.listdir(shared))
+    load.land_files(spark, scratch_path(spark, "files"), str(source_files / "product_info.csv"),
+                    str(source_files / "reviews_*.csv"))
+    made = [f for f in set(os.listdir(shared)) - before if f.startswith("stored-")]
+    texts = [f for f in made if "review_text" in spark.read.parquet(f"{shared}/{f}").columns]
+    assert len(texts) <= 2, texts
