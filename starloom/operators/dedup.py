@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import lookup_join
+from starloom.operators.bits import bit_set, most_bits, with_bit
+from starloom.operators.keys import number_rows
 from starloom.session import cut_lineage
 
 
@@ -14,31 +15,25 @@ def keep_first(df: DataFrame, key: list[str], order: list[str], stored: bool = F
 
     Null keys are equal to each other; of rows that tie on ``order`` the one with the least
     row hash stays, and of rows equal in every column any. The rows are written once, unless
-    ``stored`` says they already are, so their source is read once; then one narrow pass
-    counts the keys, with partial results before the shuffle, and only keys that occur more
-    than once reach the join of the wide pass. Wide rows stay where they are unless repeated
-    keys are too many to broadcast; only rows that tie are hashed and shuffled.
+    ``stored`` says they already are, and never shuffled: a row is known by its place. Hashes
+    of the keys are counted, with partial results before the shuffle; the rows whose hash
+    occurs more than once, and a few others, are compared by their exact keys, and the places
+    of the surplus ones are left out of the scan.
     """
     frame = df if stored else cut_lineage(df)
-    levels = frame.groupBy(*key, *[F.col(c).alias(f"_first_{c}") for c in order]).agg(F.count(F.lit(1)).alias("_copies"))
-    first = levels.groupBy(*key).agg(
-        F.sum("_copies").alias("_n"),
-        F.min(F.struct(*[f"_first_{c}" for c in order], "_copies")).alias("_first"),
-    ).where("_n > 1").select(*key, "_first.*")
-    repeated = cut_lineage(first.withColumn("_repeated", F.lit(True)))
-    tied = not repeated.where("_copies > 1").isEmpty()
-    marked = lookup_join(frame, repeated, key, null_safe=True)
-    is_first = F.lit(True)
-    for c in order:
-        is_first = is_first & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
-    if not tied:
-        return marked.where(F.col("_repeated").isNull() | is_first).select(*df.columns)
-    alone = F.col("_repeated").isNull() | (is_first & (F.col("_copies") == 1))
+    placed = number_rows(frame, "_number", stored=True)
+    hashes = F.xxhash64(*[F.col(f"`{c}`") for c in key])
+    counted = frame.groupBy(hashes.alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    size = min(2 ** max(frame.count() - 1, 1).bit_length(), most_bits())
+    again = bit_set(counted.where("_n > 1").select(F.pmod("_hash", F.lit(size)).alias("_bit")))
+    asked = with_bit(placed, F.pmod(hashes, F.lit(size)), again)
     columns = [F.col(f"`{c}`") for c in df.columns]
-    least = marked.where(is_first & (F.col("_copies") > 1)).groupBy(*key).agg(
-        F.min(F.struct(F.xxhash64(*columns).alias("_hash"), *columns)).alias("_row"))
-    return marked.where(alone).select(*df.columns).unionByName(
-        least.select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns]))
+    first = asked.groupBy(*[F.col(f"`{c}`") for c in key]).agg(F.min(F.struct(
+        *[F.col(f"`{c}`") for c in order], F.xxhash64(*columns).alias("_hash"), "_number")).alias("_first"))
+    # Every place asked for is there once, those of first rows twice: the odd ones are surplus.
+    surplus = bit_set(
+        asked.select(F.col("_number").alias("_bit")).unionByName(first.select(F.col("_first._number").alias("_bit"))), odd=True)
+    return with_bit(placed, F.col("_number"), surplus, unset=True).select(*columns)
 
 
 def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:

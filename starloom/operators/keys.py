@@ -17,7 +17,7 @@ def number_rows(df: DataFrame, name: str, start: int = 0, stored: bool = False)
     The frame is written first unless it already is what ``cut_lineage`` returned. A row's
     number is its place in its file plus the rows of the files before, so no row is moved or
     sorted and a repeated task gives equal numbers, at any number of rows. One small row per
-    file is ordered in one task and joined.
+    file is ordered in one task and broadcast.
     """
     frame = df if stored else cut_lineage(df)
     placed = frame.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
@@ -25,7 +25,7 @@ def number_rows(df: DataFrame, name: str, start: int = 0, stored: bool = False)
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     return (
-        placed.join(offsets, "_file")
+        placed.join(F.broadcast(offsets), "_file")
         .withColumn(name, (F.lit(start) + F.col("_before") + F.col("_place") + 1).cast("long"))
         .drop("_file", "_place", "_before")
     )
