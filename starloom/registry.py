@@ -183,7 +183,8 @@ class _Layers(dict):
             case "raw.product_info":
                 return cut_lineage(clean.type_products(clean.distinct_products(mapped.raw_catalogue(*self.source))))
             case "raw.reviews":
-                return cut_lineage(clean.type_reviews(clean.distinct_reviews(mapped.raw_reviews(*self.source))))
+                # The trimmed rows are stored already; their readers type the few columns they need.
+                return clean.type_reviews(clean.distinct_reviews(mapped.raw_reviews(*self.source)))
             case "nf.brand":
                 return normalize.brands(self["raw.product_info"])
             case "nf.category":
