@@ -96,18 +96,35 @@ def _renamed(df: DataFrame, on: list[str]) -> tuple[DataFrame, list[tuple[str, s
     return df.select(*[F.col(a).alias(b) for a, b in pairs]), pairs
 
 
+def _with_keys(df: DataFrame, absent: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key is among ``absent``, the stored keys of some of its rows."""
+    count = absent.count()
+    if not count:
+        return df.where(F.lit(False))
+    if count == df.count():
+        return df
+    wanted, pairs = _renamed(absent, on)
+    return df.join(F.broadcast(wanted) if fits_broadcast(absent) else wanted, _same(df, wanted, pairs, True), "left_semi")
+
+
 def without_matches(df: DataFrame, existing: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``existing``; null keys match each other.
 
     A small ``df`` against a long ``existing`` first narrows ``existing`` to the
-    keys in question, so the long side is scanned but never shuffled.
+    keys in question, so the long side is scanned but never shuffled. Of a long ``df`` only
+    the keys are compared; its rows are moved where some, but not all, are left and their
+    keys are too many to broadcast.
     """
+    if existing.isEmpty():
+        return df
     present, pairs = _renamed(existing, on)
-    if fits_broadcast(df.select(*on)):
-        wanted = df.select(*on).withColumnsRenamed({k: f"_want_{k}" for k in on})
+    keys = df.select(*on)
+    if fits_broadcast(keys):
+        wanted = keys.withColumnsRenamed({k: f"_want_{k}" for k in on})
         same = _same(present, wanted, [(b, f"_want_{a}") for a, b in pairs], True)
         present = present.join(F.broadcast(wanted), same, "left_semi")
-    return df.join(present, _same(df, present, pairs, True), "left_anti")
+        return df.join(present, _same(df, present, pairs, True), "left_anti")
+    return _with_keys(df, cut_lineage(keys.join(present, _same(keys, present, pairs, True), "left_anti")), on)
 
 
 # Up to so many keys are looked for by value, so Parquet can pass over most of the stored ones.
@@ -117,13 +134,18 @@ FEW_KEYS = 1000
 def without_bucketed(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``df`` whose key is not among ``keys``, which lie in buckets of those columns.
 
-    Only ``df`` is exchanged, by the buckets. A null key equals nothing. The keys of a small
-    ``df`` narrow the scan by their values: exactly through the Bloom filters where they are
-    few, else by their range.
+    Only the keys of ``df`` are exchanged, by the buckets; its rows are moved as ``without_matches``
+    says. A null key equals nothing. The keys of a small ``df`` narrow the scan by their values:
+    exactly through the Bloom filters where they are few, else by their range.
     """
+    if keys.isEmpty():
+        return df
     few = df.select(*on).limit(FEW_KEYS + 1).collect()
+    narrow = len(few) <= FEW_KEYS or set(df.columns) <= set(on)
     if len(few) <= FEW_KEYS:
         for column in on:
             keys = keys.where(F.col(column).isin(sorted({r[column] for r in few if r[column] is not None})))
     present, pairs = _renamed(keys, on)
-    return df.join(present.hint("merge"), _same(df, present, pairs, False), "left_anti")
+    offered = df if narrow else df.select(*on)
+    absent = offered.join(present.hint("merge"), _same(offered, present, pairs, False), "left_anti")
+    return absent if narrow else _with_keys(df, cut_lineage(absent), on)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,13 +73,19 @@ def rebuild_staging(spark: SparkSession, root: str) -> dict[str, int]:
     products = layers.read_table(spark, root, RAW_PRODUCT)
     reviews = layers.read_table(spark, root, RAW_REVIEW)
 
-    insert_absent(brands(products), root, NF_BRAND)
-    insert_absent(categories(products), root, NF_CATEGORY)
+    def brand_category_product():
+        insert_absent(brands(products), root, NF_BRAND)
+        insert_absent(categories(products), root, NF_CATEGORY)
+        insert_absent(nf_products(products, layers.read_table(spark, root, NF_CATEGORY)), root, NF_PRODUCT)
+
+    # Only products and reviews refer to other tables, so the rest is loaded side by side.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        branches = [pool.submit(brand_category_product), pool.submit(insert_absent, authors(reviews), root, NF_AUTHOR)]
+        branches += [pool.submit(insert_absent, attribute_values(reviews, attribute), root, table)
+                     for attribute, table in NF_LOOKUPS.items()]
+    for branch in branches:
+        branch.result()
     category = layers.read_table(spark, root, NF_CATEGORY)
-    insert_absent(nf_products(products, category), root, NF_PRODUCT)
-    insert_absent(authors(reviews), root, NF_AUTHOR)
-    for attribute, table in NF_LOOKUPS.items():
-        insert_absent(attribute_values(reviews, attribute), root, table)
     lookups = {a: layers.read_table(spark, root, t) for a, t in NF_LOOKUPS.items()}
     load_nf_reviews(spark, root, reviews, lookups)
 

@@ -661,8 +661,8 @@ def _stored_layers(spark, folder):
                       NF_REVIEW, STAGED_PRODUCT, STAGED_REVIEW):
             one = layers.read_table(spark, root, table).agg(F.count(F.lit(1)).alias("rows")).select(
                 F.lit(landing).alias("landing"), F.lit(f"{table.layer}.{table.name}").alias("table_name"), "rows")
-            one = cut_lineage(one)
             found = one if found is None else found.unionByName(one)
+        found = cut_lineage(found)
     return found
 
 
